@@ -27,7 +27,11 @@ from wayfare.operators.scores import star_points
 from wayfare.operators.split import with_split
 from wayfare.sources.tables import except_city
 
-_CLEAN = "regexp_replace(lower(review), '[^A-Za-z ]+', '')"
+#: training rows that make a task worth its overhead in each iteration
+ROWS_PER_TASK = 20_000
+
+#: clean_text in SQL, for a stage that is saved with the model
+_CLEAN = "regexp_replace(lower(review), '[^a-z ]++', '')"
 
 
 def counting_stages(keep_empty: bool = True, stop_words: Sequence[str] | None = None) -> PipelineModel:
@@ -87,6 +91,9 @@ def fit(train: DataFrame, max_iter: int = MAX_ITER, min_doc_freq: int = MIN_DOC_
         weights = idf_stage(min_doc_freq).fit(counts)
         indexer = StringIndexer(inputCol="rating", outputCol="label").fit(counts)
         examples = indexer.transform(weights.transform(counts)).select("label", "features")
+        # every iteration is a job over all partitions: few rows, few partitions
+        tasks = -(-weights.numDocs // ROWS_PER_TASK)
+        examples = examples.coalesce(max(1, tasks))
         classifier = LogisticRegression(
             maxIter=max_iter, labelCol="label", featuresCol="features"
         ).fit(examples)

@@ -733,10 +733,11 @@ def h1_review_count(spark, sf_dir):
 
 @query(
     "h2_heading",
+    # a reference cut off before its semicolon still stands for its character
     r"""select page_id,
-               replace(replace(replace(replace(replace(
+               regexp_replace(replace(replace(replace(replace(
                    regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1),
-                   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') as heading
+                   '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g') as heading
         from pages""",
 )
 def h2_heading(spark, sf_dir):
