@@ -28,6 +28,8 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    weight: str | None = None,
+    hold_left: bool = False,
     rows: int = BROADCAST_ROWS,
     size: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
@@ -37,16 +39,24 @@ def lookup_join(
     The lookup is computed once and measured. Within the bounds it is
     broadcast, and ``left`` is not shuffled. Beyond them the most frequent
     keys of ``left`` are joined by broadcasting just their rows, so that only
-    keys too rare to skew a partition go through the shuffle. Keys must not be
-    null.
+    keys too rare to skew a partition go through the shuffle.
+
+    ``weight`` names a lookup column that says how often a key occurs in
+    ``left``, which saves counting; ``hold_left`` computes ``left`` once where
+    it is read several times, for one that costs more than it holds. Keys must
+    not be null.
     """
     on = list(on)
     lookup = materialise(lookup)
     if fits_broadcast(lookup, rows, size):
         return left.join(F.broadcast(lookup), on, how)
-    hot = materialise(
-        left.groupBy(*on).count().orderBy(F.desc("count"), *on).limit(hot_keys).select(*on)
-    )
+    if hold_left:
+        left = materialise(left)
+    if weight is None:
+        counted = left.groupBy(*on).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), *on)
+    else:
+        counted = lookup.orderBy(F.desc(weight), *on)
+    hot = materialise(counted.limit(hot_keys).select(*on))
     hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
     head = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, how)
     tail = left.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how)

@@ -44,7 +44,7 @@ def term_idf(
     )
     if group:
         sizes = reviews.groupBy(*group).agg(F.count("*").alias("m"))
-        freqs = lookup_join(freqs, sizes, group, "inner")
+        freqs = lookup_join(freqs, sizes, group, "inner", weight="m", hold_left=True)
         m = F.col("m")
     else:
         m = reviews.agg(F.count("*").alias("m")).scalar()
@@ -65,5 +65,5 @@ def tfidf(
     """
     pairs = review_terms(reviews, [*group, "review_id"], words)
     weights = term_idf(reviews, group, min_doc_freq, words)
-    joined = lookup_join(pairs, weights, [*group, "term"], "inner")
+    joined = lookup_join(pairs, weights, [*group, "term"], "inner", weight="df")
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))

@@ -924,7 +924,19 @@ def t5_exact_tfidf(spark, sf_dir):
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("t6_feature_fit")
+@query(
+    "t6_feature_fit",
+    f"""select c.review_id, c.rating, cast(l.label as double) as label,
+               cast(len(list_filter(case when clean = '' then ['']
+                                         when trim(clean, ' ') = '' then []
+                                         else string_split(rtrim(clean, ' '), ' ') end,
+                        lambda x: not list_contains({_STOP_LIST}, x))) as double) as tf_total,
+               4096 as width
+        from cleaned c
+        join (select rating, row_number() over (order by count(*) desc, rating) - 1 as label
+              from reviews group by rating) l using (rating)""",
+    "cleaned",
+)
 def t6_feature_fit(spark, sf_dir):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
@@ -934,8 +946,14 @@ def t6_feature_fit(spark, sf_dir):
     indexer = StringIndexer(inputCol="rating", outputCol="label")
     stages = Pipeline(stages=[*M.counting_stages().stages, M.idf_stage(), indexer])
     featured = stages.fit(reviews).transform(reviews)
-    weighed = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return featured.select("review_id", "rating", "label", F.round(weighed, 6).alias("weight"))
+    total = F.aggregate(vector_to_array("tf_review"), F.lit(0.0), lambda a, x: a + x)
+    return featured.select(
+        "review_id",
+        "rating",
+        "label",
+        total.alias("tf_total"),
+        F.size(vector_to_array("features")).alias("width"),
+    )
 
 
 @query(
@@ -986,6 +1004,39 @@ def m2_group_label_index(spark, sf_dir):
     return labels.label_index(V.reviews(spark, sf_dir), labels.ATTRACTION)
 
 
+_TRAINING = f"""
+    select review_id, rating,
+           case when cast('0x' || substr(md5(review_id || ':2000'), 1, 8) as bigint) < 3865470566
+                then 'train' else 'test' end as split
+    from (select *, row_number() over (partition by rating order by review_id) as place,
+                 count(*) over (partition by rating) as n
+          from reviews where city <> '{HELD_OUT}')
+    where place <= (select min(n) from (select count(*) as n from reviews
+                                        where city <> '{HELD_OUT}' group by rating))"""
+
+
+@query("m6_training_parts", _TRAINING, "reviews")
+def m6_training_parts(spark, sf_dir):
+    train, test = M.training_parts(V.reviews(spark, sf_dir), HELD_OUT)
+    marked = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return marked.select("review_id", "rating", "split")
+
+
+@query(
+    "m1_training_labels",
+    f"""select rating, row_number() over (order by count(*) desc, rating) - 1 as label
+        from ({_TRAINING}) where split = 'train' group by rating""",
+    "reviews",
+)
+def m1_training_labels(spark, sf_dir):
+    from pyspark.ml.feature import StringIndexer
+
+    train, _ = M.training_parts(V.reviews(spark, sf_dir), HELD_OUT)
+    fitted = StringIndexer(inputCol="rating", outputCol="label").fit(train)
+    rows = list(zip(fitted.labels, range(len(fitted.labels))))
+    return spark.createDataFrame(rows, "rating string, label bigint")
+
+
 @query("m3_model")
 def m3_model(spark, sf_dir):
     train, _ = M.training_parts(V.texts(spark, sf_dir), HELD_OUT)
