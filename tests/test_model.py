@@ -8,6 +8,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from wayfare.functions.fixed import HASH_BUCKETS, RATING_CODES
@@ -44,7 +45,7 @@ def test_hashed_counts_follow_the_words(spark, reviews):
     counting = M.counting_stages()
     hashing = counting.stages[-1]
     for row in counting.transform(reviews).limit(30).collect():
-        expected = collections.Counter(hashing.indexOf(word) for word in row["stpwd_review"])
+        expected = collections.Counter(hashing.indexOf(word) for word in row["review_words"])
         vector = row["tf_review"]
         assert vector.size == HASH_BUCKETS
         assert dict(zip(map(int, vector.indices), vector.values)) == expected
@@ -52,10 +53,23 @@ def test_hashed_counts_follow_the_words(spark, reviews):
 
 def test_empty_words(spark):
     df = spark.createDataFrame([("a  tour",), ("  tour ",), ("",), ("  ",)], "review string")
-    kept = [r["stpwd_review"] for r in M.counting_stages().transform(df).collect()]
+    kept = [r["review_words"] for r in M.counting_stages().transform(df).collect()]
     assert kept == [["", "tour"], ["", "", "tour"], [""], []]
-    closed = [r["stpwd_review"] for r in M.counting_stages(keep_empty=False).transform(df).collect()]
-    assert closed == [["tour"], ["tour"], [""], [""]]
+    closed = [r["review_words"] for r in M.counting_stages(keep_empty=False).transform(df).collect()]
+    assert closed == [["tour"], ["tour"], [""], []]
+
+
+def test_words_equal_the_library_stages(spark):
+    pick = random.Random(4)
+    texts = ["", " ", "   ", " a", "the ", "Don't  STOP. Will", "é ñ", "K\u212a \u0130"] + [
+        "".join(pick.choices("aeT'. é\n\tth", k=pick.randrange(30))) for _ in range(300)
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "review string")
+    cleaned = df.withColumn("clean", F.regexp_replace(F.lower("review"), "[^A-Za-z ]+", ""))
+    tokenised = Tokenizer(inputCol="clean", outputCol="tok").transform(cleaned)
+    removed = StopWordsRemover(inputCol="tok", outputCol="expected").transform(tokenised)
+    both = M.counting_stages().transform(removed).select("review", "review_words", "expected").collect()
+    assert [r["review_words"] for r in both] == [r["expected"] for r in both]
 
 
 def test_idf_by_hand(spark, reviews):
@@ -106,8 +120,15 @@ def test_predicted_scores(reviews, result):
 
 
 def test_unseen_ratings_are_predicted_too(spark, result):
-    odd = spark.createDataFrame([(1, "n/a", "superb superb visit", "paris", "x")], "review_id bigint, rating string, review string, city string, attraction string")
-    assert result.model.predict(odd).first()["predicted_rating"] == "50"
+    odd = spark.createDataFrame([(1, "n/a", "superb superb visit", "paris", "x"), (2, "50", None, "paris", "x")], "review_id bigint, rating string, review string, city string, attraction string")
+    predicted = {r["review_id"]: r["predicted_rating"] for r in result.model.predict(odd).collect()}
+    assert predicted[1] == "50" and predicted[2] in RATING_CODES
+
+
+def test_stop_words_may_hold_quotes(spark):
+    df = spark.createDataFrame([("keep drop",)], "review string")
+    stages = M.counting_stages(stop_words=["drop", "it's", "back\\"])
+    assert stages.transform(df).first()["review_words"] == ["keep"]
 
 
 def test_both_scores_differ_in_what_they_count(reviews, result):

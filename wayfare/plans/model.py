@@ -13,14 +13,12 @@ from pyspark.ml.feature import (
     HashingTF,
     IndexToString,
     SQLTransformer,
-    StopWordsRemover,
     StringIndexer,
-    Tokenizer,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.fixed import HASH_BUCKETS, MAX_ITER, MIN_DOC_FREQ
+from wayfare.functions.fixed import HASH_BUCKETS, MAX_ITER, MIN_DOC_FREQ, STOP_WORDS
 from wayfare.operators.balance import balanced
 from wayfare.operators.labels import ATTRACTION
 from wayfare.operators.scores import star_points
@@ -30,26 +28,34 @@ from wayfare.sources.tables import except_city
 #: training rows that make a task worth its overhead in each iteration
 ROWS_PER_TASK = 20_000
 
-#: clean_text in SQL, for a stage that is saved with the model
-_CLEAN = "regexp_replace(lower(review), '[^a-z ]++', '')"
+def _word_sql(keep_empty: bool, words: Sequence[str]) -> str:
+    """Clean, tokenise and drop stop words as one SQL statement.
 
+    A statement is saved with the model, and stays in the generated code where
+    the tokeniser and remover stages convert each array to objects and back.
+    The words are theirs all the same: with ``keep_empty`` two blanks enclose
+    an empty word, blanks at the end none, and an empty text is one empty word.
+    """
+    escaped = [word.replace("\\", "\\\\").replace("'", "\\'") for word in words]
+    literals = ", ".join(f"'{word}'" for word in escaped)
+    pieces = "CASE WHEN trim(_clean) = '' AND _clean <> '' THEN array() ELSE split(rtrim(_clean), ' ') END"
+    empty = "" if keep_empty else " AND (word <> '' OR trim(_clean) = '')"
+    return (
+        f"SELECT * EXCEPT (_clean), filter({pieces}, word -> word NOT IN ({literals}){empty}) AS review_words "
+        "FROM (SELECT *, regexp_replace(lower(coalesce(review, '')), '[^a-z ]++', '') AS _clean FROM __THIS__)"
+    )
 
-def counting_stages(keep_empty: bool = True, stop_words: Sequence[str] | None = None) -> PipelineModel:
+
+def counting_stages(keep_empty: bool = True, stop_words: Sequence[str] = STOP_WORDS) -> PipelineModel:
     """Clean, tokenise, drop stop words, count hashed terms; nothing to fit.
 
     The tokeniser yields an empty word between two blanks, which is counted
-    like any other; ``keep_empty=False`` closes the gaps first.
+    like any other; ``keep_empty=False`` drops them where a text has words.
     """
-    cleaned = _CLEAN if keep_empty else f"trim(regexp_replace({_CLEAN}, ' +', ' '))"
-    remover = StopWordsRemover(inputCol="tok_review", outputCol="stpwd_review")
-    if stop_words is not None:
-        remover.setStopWords(list(stop_words))
     return PipelineModel(
         [
-            SQLTransformer(statement=f"SELECT *, {cleaned} AS clean_review FROM __THIS__"),
-            Tokenizer(inputCol="clean_review", outputCol="tok_review"),
-            remover,
-            HashingTF(numFeatures=HASH_BUCKETS, inputCol="stpwd_review", outputCol="tf_review"),
+            SQLTransformer(statement=_word_sql(keep_empty, stop_words)),
+            HashingTF(numFeatures=HASH_BUCKETS, inputCol="review_words", outputCol="tf_review"),
         ]
     )
 
@@ -72,9 +78,7 @@ class RatingModel:
         The weights and labels are those of training. No label is needed, so
         a rating unseen in training does no harm.
         """
-        features = self.text.transform(reviews).drop(
-            "clean_review", "tok_review", "stpwd_review", "tf_review"
-        )
+        features = self.text.transform(reviews).drop("review_words", "tf_review")
         decode = IndexToString(
             inputCol="prediction", outputCol="predicted_rating", labels=self.labels
         )
