@@ -43,7 +43,9 @@ def _open_tag(tag: str, name: str) -> str:
 def _first(text: Column, pattern: str) -> Column:
     """Group 1 of the first match, null without a match."""
     pattern = "(?is)" + pattern
-    return F.regexp_extract(F.regexp_substr(text, F.lit(pattern)), pattern, 1)
+    found = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    # an empty group looks like no match; only then is the text searched again
+    return F.coalesce(found, F.when(F.regexp_like(text, F.lit(pattern)), ""))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -101,10 +103,9 @@ def paragraphs(html: Column) -> Column:
 def review_blocks(html: Column) -> Column:
     """The page cut at each review block; what precedes the first is dropped."""
     # blocks nest further divs, so a block runs until the next one opens
-    opens = "(?is)(?=" + _open_tag("div", "reviewSelector") + ")"
-    parts = F.split(html, opens)
-    starts = F.regexp_like(parts[0], F.lit("(?is)^" + _open_tag("div", "reviewSelector")))
-    return F.when(starts, parts).otherwise(F.slice(parts, F.lit(2), F.size(parts)))
+    opens = _open_tag("div", "reviewSelector")
+    parts = F.split(html, f"(?is)(?={opens})")
+    return F.filter(parts, lambda part, i: (i > 0) | F.regexp_like(part, F.lit(f"(?is)^{opens}")))
 
 
 def block_username(block: Column) -> Column:

@@ -68,4 +68,4 @@ def term_counts(words: Column) -> Column:
             ),
         )
 
-    return _bind(F.array_sort(words), lambda w: F.when(F.size(w) > 0, runs(w)))
+    return _bind(F.sort_array(words), lambda w: F.when(F.size(w) > 0, runs(w)))
