@@ -124,6 +124,25 @@ def test_large_lookup_is_not_broadcast(spark):
     by_bytes = lookup_join(left, lookup, ["k"], size=500, hot_keys=2)
     assert "Union" in by_bytes._jdf.queryExecution().executedPlan().toString()
     assert by_bytes.count() == 100
+    too_wide = lookup_join(left, lookup, ["k"], size=50, hot_keys=2)
+    assert "Union" not in too_wide._jdf.queryExecution().executedPlan().toString()
+    assert sorted(too_wide.collect()) == sorted(by_bytes.collect())
+
+
+@pytest.mark.parametrize("weight", [None, "v"])
+def test_lookup_join_with_weights_and_held_left(spark, weight):
+    left = spark.range(200).select(F.when(F.col("id") < 90, 0).otherwise(F.col("id") % 40).alias("k"), "id")
+    lookup = left.groupBy("k").agg(F.count("*").alias("v"))
+    got = lookup_join(left, lookup, ["k"], "inner", weight, True, rows=3, hot_keys=2)
+    expected = left.join(lookup, "k")
+    assert sorted(got.select("k", "id", "v").collect()) == sorted(expected.select("k", "id", "v").collect())
+
+
+def test_chunks_are_spread(spark):
+    listed = spark.createDataFrame([("u", 1000)], "url string, num_reviews bigint")
+    pages = crawl.expand_pages(listed, chunk_pages=2)
+    tasks = pages.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 1
 
 
 # --- labels, scores, split ------------------------------------------------------------

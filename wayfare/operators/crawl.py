@@ -77,7 +77,11 @@ def expand_pages(
     reach = page_size * chunk_pages
     counted = listings.filter(F.col("num_reviews") >= 0)
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("num_reviews"), F.lit(reach).cast("bigint"))
-    chunks = counted.withColumn("_from", F.explode(starts)).repartition(*listings.columns, "_from")
+    # a fixed number, as these few bytes would else be merged into one task
+    tasks = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = counted.withColumn("_from", F.explode(starts)).repartition(
+        tasks, *listings.columns, "_from"
+    )
     last = F.least(F.col("num_reviews"), F.col("_from") + (reach - page_size))
     offsets = F.sequence("_from", last, F.lit(page_size).cast("bigint"))
     return (

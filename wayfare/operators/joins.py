@@ -39,7 +39,9 @@ def lookup_join(
     The lookup is computed once and measured. Within the bounds it is
     broadcast, and ``left`` is not shuffled. Beyond them the most frequent
     keys of ``left`` are joined by broadcasting just their rows, so that only
-    keys too rare to skew a partition go through the shuffle.
+    keys too rare to skew a partition go through the shuffle. Should even
+    those rows be too wide to broadcast, a plain join is left, whose skewed
+    partitions are split by adaptive execution.
 
     ``weight`` names a lookup column that says how often a key occurs in
     ``left``, which saves counting; ``hold_left`` computes ``left`` once where
@@ -57,7 +59,11 @@ def lookup_join(
     else:
         counted = lookup.orderBy(F.desc(weight), *on)
     hot = materialise(counted.limit(hot_keys).select(*on))
-    hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
+    if not fits_broadcast(hot, hot_keys, size):
+        return left.join(lookup, on, how)
+    hot_lookup = materialise(lookup.join(F.broadcast(hot), on, "left_semi"))
+    if not fits_broadcast(hot_lookup, hot_keys, size):
+        return left.join(lookup, on, how)
     head = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, how)
     tail = left.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how)
     return head.unionByName(tail)
