@@ -104,38 +104,40 @@ def test_equal_scores_rank_by_name(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-@pytest.mark.parametrize("rows", [10**6, 5])
-def test_lookup_join(spark, how, rows):
+@pytest.mark.parametrize("rows, salt_rows", [(10**6, 10**6), (5, 10**6), (5, 20)])
+def test_lookup_join(spark, how, rows, salt_rows):
     pick = random.Random(3)
-    keys = [("hot" if pick.random() < 0.4 else f"k{pick.randrange(60)}", i) for i in range(400)]
+    keys = [("hot" if pick.random() < 0.4 else "gone" if pick.random() < 0.2 else f"k{pick.randrange(60)}", i) for i in range(400)]
     left = spark.createDataFrame(keys, "k string, i int").repartition(5)
     lookup = spark.createDataFrame([("hot", 1)] + [(f"k{j}", j) for j in range(0, 60, 2)], "k string, v int")
-    got = lookup_join(left, lookup, ["k"], how, rows=rows, hot_keys=4)
+    got = lookup_join(left, lookup, ["k"], how, rows=rows, salt_rows=salt_rows)
     expected = left.join(lookup, "k", how)
     assert got.columns == expected.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_large_lookup_is_not_broadcast(spark):
-    left = spark.range(100).select((F.col("id") % 9).alias("k"))
-    lookup = spark.createDataFrame([(k, "x" * 100) for k in range(9)], "k bigint, text string")
-    small = lookup_join(left, lookup, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in small
-    by_bytes = lookup_join(left, lookup, ["k"], size=500, hot_keys=2)
-    assert "Union" in by_bytes._jdf.queryExecution().executedPlan().toString()
-    assert by_bytes.count() == 100
-    too_wide = lookup_join(left, lookup, ["k"], size=50, hot_keys=2)
-    assert "Union" not in too_wide._jdf.queryExecution().executedPlan().toString()
-    assert sorted(too_wide.collect()) == sorted(by_bytes.collect())
-
-
 @pytest.mark.parametrize("weight", [None, "v"])
-def test_lookup_join_with_weights_and_held_left(spark, weight):
-    left = spark.range(200).select(F.when(F.col("id") < 90, 0).otherwise(F.col("id") % 40).alias("k"), "id")
+def test_hot_keys_are_dealt_over_tasks(spark, weight):
+    left = spark.range(2000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 40).alias("k"), "id")
     lookup = left.groupBy("k").agg(F.count("*").alias("v"))
-    got = lookup_join(left, lookup, ["k"], "inner", weight, True, rows=3, hot_keys=2)
+    got = lookup_join(left, lookup, ["k"], "inner", weight, rows=3, salt_rows=100)
     expected = left.join(lookup, "k")
     assert sorted(got.select("k", "id", "v").collect()) == sorted(expected.select("k", "id", "v").collect())
+    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_lookup_is_not_broadcast(spark):
+    left = spark.range(100).select((F.col("id") % 9).alias("k"))
+    lookup = spark.createDataFrame([(k, "x" * 100) for k in range(9)], "k bigint, text string")
+    small = lookup_join(left, lookup, ["k"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    by_bytes = lookup_join(left, lookup, ["k"], size=500, salt_rows=5)
+    assert "_salt" in by_bytes._jdf.queryExecution().optimizedPlan().toString()
+    too_wide = lookup_join(left, lookup, ["k"], size=5, salt_rows=5)
+    assert "_salt" not in too_wide._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(small.collect()) == sorted(by_bytes.collect()) == sorted(too_wide.collect())
+    assert "ShuffledHashJoin" in by_bytes._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in too_wide._jdf.queryExecution().executedPlan().toString()
 
 
 def test_chunks_are_spread(spark):

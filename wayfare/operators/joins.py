@@ -12,15 +12,17 @@ from wayfare.cluster import materialise
 #: a lookup is broadcast when its measured size is within both bounds
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: beyond them, this many of the most frequent keys are still joined by broadcast
+#: a key with more rows than this is split, for at most so many keys: the rest
+#: of the keys are too rare to matter next to the rows of those
+SALT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
 
-def fits_broadcast(table: DataFrame, rows: int, size: int) -> bool:
-    """Measure a computed table: its rows and the bytes of their text form."""
-    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(0))
-    n, total = table.agg(F.count("*"), F.sum(width.cast("bigint"))).first()
-    return n <= rows and (total or 0) <= size
+def measured(table: DataFrame) -> tuple[int, int]:
+    """Rows of a computed table, and the bytes of their text form."""
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+    n, total = table.agg(F.count("*"), F.sum(sum(widths, F.lit(0)).cast("bigint"))).first()
+    return n, total or 0
 
 
 def lookup_join(
@@ -29,41 +31,50 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     weight: str | None = None,
-    hold_left: bool = False,
     rows: int = BROADCAST_ROWS,
     size: int = BROADCAST_BYTES,
-    hot_keys: int = HOT_KEYS,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to a lookup with one row per key.
 
     The lookup is computed once and measured. Within the bounds it is
-    broadcast, and ``left`` is not shuffled. Beyond them the most frequent
-    keys of ``left`` are joined by broadcasting just their rows, so that only
-    keys too rare to skew a partition go through the shuffle. Should even
-    those rows be too wide to broadcast, a plain join is left, whose skewed
-    partitions are split by adaptive execution.
+    broadcast, and ``left`` is not shuffled. Beyond them both sides are
+    shuffled, the rows of each frequent key of ``left`` over as many tasks as
+    they need, which the lookup's row for that key reaches as copies.
 
-    ``weight`` names a lookup column that says how often a key occurs in
-    ``left``, which saves counting; ``hold_left`` computes ``left`` once where
-    it is read several times, for one that costs more than it holds. Keys must
-    not be null.
+    ``weight`` names a lookup column that says about how often a key occurs in
+    ``left``, which saves counting. Keys must not be null.
     """
     on = list(on)
     lookup = materialise(lookup)
-    if fits_broadcast(lookup, rows, size):
+    n, total = measured(lookup)
+    if n <= rows and total <= size:
         return left.join(F.broadcast(lookup), on, how)
-    if hold_left:
-        left = materialise(left)
+    hot = materialise(_hot_keys(left, lookup, on, weight, salt_rows))
+    # unique keys hash evenly: where a task's share is small, look it up in
+    # memory instead of sorting the large side
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hint = "shuffle_hash" if total / tasks <= size else "merge"
+    n_hot, hot_total = measured(hot)
+    # wide keys may exceed the bound; adaptive execution then splits partitions
+    if n_hot == 0 or hot_total > size:
+        return left.join(lookup.hint(hint), on, how)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    # a hash of the whole row, so that a repeated task deals its rows alike
+    salt = F.pmod(F.xxhash64(*left.columns), salts)
+    dealt = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
+    copied = lookup.join(F.broadcast(hot), on, "left").withColumn("_salt", copies).drop("_salts")
+    return dealt.join(copied.hint(hint), [*on, "_salt"], how).drop("_salt")
+
+
+def _hot_keys(
+    left: DataFrame, lookup: DataFrame, on: list[str], weight: str | None, salt_rows: int
+) -> DataFrame:
+    """The most frequent keys and the number of tasks each needs."""
     if weight is None:
-        counted = left.groupBy(*on).agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), *on)
+        counted = left.groupBy(*on).agg(F.count("*").alias("_n"))
     else:
-        counted = lookup.orderBy(F.desc(weight), *on)
-    hot = materialise(counted.limit(hot_keys).select(*on))
-    if not fits_broadcast(hot, hot_keys, size):
-        return left.join(lookup, on, how)
-    hot_lookup = materialise(lookup.join(F.broadcast(hot), on, "left_semi"))
-    if not fits_broadcast(hot_lookup, hot_keys, size):
-        return left.join(lookup, on, how)
-    head = left.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, how)
-    tail = left.join(F.broadcast(hot), on, "left_anti").join(lookup, on, how)
-    return head.unionByName(tail)
+        counted = lookup.select(*on, F.col(weight).alias("_n"))
+    hottest = counted.filter(F.col("_n") > salt_rows).orderBy(F.desc("_n"), *on).limit(HOT_KEYS)
+    return hottest.select(*on, F.ceil(F.col("_n") / salt_rows).alias("_salts"))

@@ -44,7 +44,7 @@ def term_idf(
     )
     if group:
         sizes = reviews.groupBy(*group).agg(F.count("*").alias("m"))
-        freqs = lookup_join(freqs, sizes, group, "inner", weight="m", hold_left=True)
+        freqs = lookup_join(freqs, sizes, group, "inner", weight="m")
         m = F.col("m")
     else:
         m = reviews.agg(F.count("*").alias("m")).scalar()
