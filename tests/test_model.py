@@ -91,6 +91,19 @@ def test_held_out_city_is_not_learned_from(reviews):
     assert len({r["n"] for r in both.groupBy("rating").agg(F.count("*").alias("n")).collect()}) == 1
 
 
+def test_random_parts_lose_nothing(reviews):
+    by_key = M.training_parts(reviews, "paris")
+    drawn = M.training_parts(reviews, "paris", random=True)
+    ids = [sorted(r["review_id"] for part in parts for r in part.collect()) for parts in (by_key, drawn)]
+    assert ids[0] == ids[1]
+
+
+def test_other_counting_stages(reviews):
+    train, test = M.training_parts(reviews, "paris")
+    model = M.fit(train, max_iter=5, counting=M.counting_stages(keep_empty=False))
+    assert M.accuracy(model, test).first()["accuracy"] > 0.7
+
+
 def test_accuracy_equals_the_evaluator(reviews, result):
     _, test = M.training_parts(reviews, "paris")
     row = result.accuracy.first()

@@ -12,6 +12,8 @@ import compare
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
+#: the only queries with a Python step: character references in extracted texts
+READS_ENTITIES = {"h2_heading", "h2_heading_by_id", "h4_records", "h5_info"}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +23,11 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    columns, rows = compare.spark_rows(QUERIES[name](spark, SF_DIR))
+    result = QUERIES[name](spark, SF_DIR)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert ("EvalPython" in plan) == (name in READS_ENTITIES)
+    columns, rows = compare.spark_rows(result)
     expected_columns, expected = compare.duck_rows(duck, ORACLES[name])
     assert columns == expected_columns
     assert rows == expected

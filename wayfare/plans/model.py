@@ -22,12 +22,13 @@ from wayfare.functions.fixed import HASH_BUCKETS, MAX_ITER, MIN_DOC_FREQ, STOP_W
 from wayfare.operators.balance import balanced
 from wayfare.operators.labels import ATTRACTION
 from wayfare.operators.scores import star_points
-from wayfare.operators.split import with_split
+from wayfare.operators.split import random_parts, with_split
 from wayfare.sources.tables import except_city
 
 #: training rows that make a task worth its overhead in each iteration
 ROWS_PER_TASK = 20_000
 
+
 def _word_sql(keep_empty: bool, words: Sequence[str]) -> str:
     """Clean, tokenise and drop stop words as one SQL statement.
 
@@ -86,11 +87,20 @@ class RatingModel:
         return predicted.drop("features", "rawPrediction")
 
 
-def fit(train: DataFrame, max_iter: int = MAX_ITER, min_doc_freq: int = MIN_DOC_FREQ) -> RatingModel:
-    """Fit on ``(rating, review)``; only model parameters reach the driver."""
-    counting = counting_stages()
+def fit(
+    train: DataFrame,
+    max_iter: int = MAX_ITER,
+    min_doc_freq: int = MIN_DOC_FREQ,
+    counting: PipelineModel | None = None,
+) -> RatingModel:
+    """Fit on ``(rating, review)``; only model parameters reach the driver.
+
+    ``counting`` replaces the default ``counting_stages()``.
+    """
+    counting = counting or counting_stages()
     # tokenised once; three fits read the counts
-    counts = counting.transform(train).select("rating", "tf_review").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = counting.transform(train).select("rating", "tf_review")
+    counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = idf_stage(min_doc_freq).fit(counts)
         indexer = StringIndexer(inputCol="rating", outputCol="label").fit(counts)
@@ -108,11 +118,21 @@ def fit(train: DataFrame, max_iter: int = MAX_ITER, min_doc_freq: int = MIN_DOC_
 
 
 def training_parts(
-    reviews: DataFrame, held_out: str, key: str = "review_id", skip_empty: bool = False
+    reviews: DataFrame,
+    held_out: str,
+    key: str = "review_id",
+    skip_empty: bool = False,
+    random: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Balanced reviews of the other cities, as a training and a test part."""
-    others = except_city(reviews, held_out)
-    marked = with_split(balanced(others, key, skip_empty), key)
+    """Balanced reviews of the other cities, as a training and a test part.
+
+    ``random`` takes Spark's own seeded split instead of the one by key.
+    """
+    sample = balanced(except_city(reviews, held_out), key, skip_empty)
+    if random:
+        train, test = random_parts(sample)
+        return train, test
+    marked = with_split(sample, key)
     train = marked.filter(F.col("split") == "train").drop("split")
     test = marked.filter(F.col("split") == "test").drop("split")
     return train, test
