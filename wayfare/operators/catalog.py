@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,10 @@ CITY_DIMENSION = T.StructType(
     [T.StructField(name, T.StringType(), False) for name in ["city", "name", "geo_id", "suffix", "about"]]
 )
 
+CATALOGUE_KEYS = T.StructType(
+    [T.StructField(name, T.StringType(), False) for name in ["city", "tier", "key"]]
+)
+
 #: the relational tables of the site
 CITY_TABLE = T.StructType(
     [
@@ -37,21 +42,27 @@ ATTRACTION_TABLE = T.StructType(
 )
 
 
+def _literal(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Fixed rows as part of the plan; its size is known without a job."""
+    columns = dict(zip(schema.names, zip(*rows)))
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
     """The three cities: code, name, geo id, page suffix, blurb."""
-    return spark.createDataFrame(CITIES, CITY_DIMENSION)
+    return _literal(spark, CITIES, CITY_DIMENSION)
 
 
 def city_table(spark: SparkSession) -> DataFrame:
     """The cities as rows of the relational table, numbered from 1."""
     rows = [(i, name, about, geo) for i, (_, name, geo, _, about) in enumerate(CITIES, start=1)]
-    return spark.createDataFrame(rows, CITY_TABLE)
+    return _literal(spark, rows, CITY_TABLE)
 
 
 def catalogue(spark: SparkSession) -> DataFrame:
     """The known attractions, parsed from their keys; one row per serial."""
     rows = [(city, tier, key) for (city, tier), keys in CATALOGUE.items() for key in keys]
-    keys = spark.createDataFrame(rows, "city string, tier string, key string")
+    keys = _literal(spark, rows, CATALOGUE_KEYS)
     parsed = parse_keys(keys).join(
         F.broadcast(city_dimension(spark).select("city", "geo_id")), "city"
     )

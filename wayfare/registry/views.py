@@ -10,18 +10,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.fixed import DELIMITER
-from wayfare.sources.lines import REVIEWS, review_line
+from wayfare.sources.lines import review_line
+from wayfare.sources.tables import scan_pages
 
 #: ids per derived page of reviews, which bounds the rows of a page
 PAGE_IDS = 200
 
 
+#: declared, so that no job has to read them from the files
+_DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spark.read.schema(_DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return scan_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -60,7 +60,7 @@ def read_csv(spark: SparkSession, path: str, headers: Sequence[str], multi_line:
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """Raw pages ``(page_id, url, html)``."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    return spark.read.schema("page_id bigint, url string, html string").parquet(path)
 
 
 def of_city(reviews: DataFrame, held_out: str) -> DataFrame:
