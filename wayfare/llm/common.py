@@ -86,3 +86,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle; raise rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def join_small(df: DataFrame, small: DataFrame, key: str, bound: int = 10_000) -> DataFrame:
+    """Left join on one key, null keys included; ``small`` has a row per key.
+
+    ``small`` is written and counted: up to ``bound`` rows are broadcast, more
+    are joined by a shuffle, whose hot keys adaptive execution splits.
+    """
+    side = written(small, "lookup")
+    renamed = side.withColumnRenamed(key, "_key")
+    if side.count() <= bound:
+        renamed = F.broadcast(renamed)
+    return df.join(renamed, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")

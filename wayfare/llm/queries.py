@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm.common import table
 from wayfare.llm.golomb import exact_groups
+from wayfare.llm.harmonic import pack
 from wayfare.llm.hashtree import shard_documents
+from wayfare.llm.mixing import mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,11 +19,19 @@ def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op8_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-_ALL = [op3_hash_tree_shards, op8_golomb_exact_dedup]
+_ALL = [op3_hash_tree_shards, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 ORACLES: dict[str, str] = {
