@@ -49,7 +49,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     ``root`` is the least node reachable. Alternates large-star and small-star:
     each node's neighbours are linked to the least of them, which keeps
-    the components and ends, after logarithmically many rounds, in stars
+    the components and settles, after logarithmically many rounds, in stars
     around the least nodes. A round is one aggregation with partial minima and
     one join on the node, which adaptive execution splits if a node is hot; its
     result is a written table. Null nodes and loops are ignored.
@@ -60,29 +60,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
+    seen = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m")
-        )
-        large = (
-            both.join(least, "a")
-            .where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .distinct()
-        )
-        large = written(large, "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = large.join(least, "a")
-        moved = small.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        stay = least.select("a", F.col("m").alias("b"))
-        after = written(stay.unionByName(moved).distinct(), "edges")
-        # done once every node has one parent and no parent has a parent
-        several = large.groupBy("a").count().where(F.col("count") > 1).limit(1).count()
-        chained = after.alias("x").join(after.alias("y"), F.col("x.b") == F.col("y.a"), "left_semi").limit(1).count()
-        now = after
-        if not several and not chained:
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where(F.col("b") > F.col("a"))
+        large = written(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "edges")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        moved = large.join(least, "a").where(F.col("b") != F.col("m"))
+        moved = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = written(least.withColumnRenamed("m", "b").unionByName(moved).distinct(), "edges")
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        if state == seen:
             break
+        seen = state
     else:
         raise RuntimeError("components did not settle; raise rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

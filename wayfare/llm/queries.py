@@ -11,10 +11,15 @@ from wayfare.llm.golomb import exact_groups
 from wayfare.llm.harmonic import pack
 from wayfare.llm.hashtree import shard_documents
 from wayfare.llm.mixing import mix
+from wayfare.llm.vptree import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -31,7 +36,7 @@ def op8_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-_ALL = [op3_hash_tree_shards, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup]
+_ALL = [op1_vantage_point_simhash, op3_hash_tree_shards, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 ORACLES: dict[str, str] = {
