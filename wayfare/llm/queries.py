@@ -12,6 +12,7 @@ from wayfare.llm.harmonic import pack
 from wayfare.llm.hashtree import shard_documents
 from wayfare.llm.mixing import mix
 from wayfare.llm.pagediff import main_texts
+from wayfare.llm.toxicity import score_documents
 from wayfare.llm.vptree import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +42,12 @@ def op9_nearest_url_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
-_ALL = [op1_vantage_point_simhash, op3_hash_tree_shards, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup, op9_nearest_url_extraction]
+def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return score_documents(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+_ALL = [op1_vantage_point_simhash, op3_hash_tree_shards, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 ORACLES: dict[str, str] = {
