@@ -12,6 +12,7 @@ from wayfare.llm.harmonic import pack
 from wayfare.llm.hashtree import shard_documents
 from wayfare.llm.linededup import dedup_lines
 from wayfare.llm.mixing import mix
+from wayfare.llm.nndescent import near_vectors
 from wayfare.llm.pagediff import main_texts
 from wayfare.llm.toxicity import score_documents
 from wayfare.llm.vptree import near_groups
@@ -23,6 +24,10 @@ def op1_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_nn_descent_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op3_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -52,7 +57,7 @@ def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFram
     return score_documents(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-_ALL = [op1_vantage_point_simhash, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
+_ALL = [op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 ORACLES: dict[str, str] = {
