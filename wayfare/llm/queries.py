@@ -14,7 +14,7 @@ from wayfare.llm.linededup import dedup_lines
 from wayfare.llm.mixing import mix
 from wayfare.llm.nndescent import near_vectors
 from wayfare.llm.pagediff import main_texts
-from wayfare.llm.toxicity import score_documents
+from wayfare.llm import scoring, toxicity
 from wayfare.llm.vptree import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op7_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -54,10 +58,10 @@ def op9_nearest_url_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents", "doc_id", "text")
-    return score_documents(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score_documents(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-_ALL = [op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
+_ALL = [op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op7_attention_scores, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 ORACLES: dict[str, str] = {
