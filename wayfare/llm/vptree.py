@@ -24,7 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
@@ -62,9 +62,8 @@ def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, size) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"]
-            )
+            fps = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), fps], ["doc_id", "key", "fp"])
 
     return run
 
@@ -229,26 +228,14 @@ def _links(bits: int):
     return run
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """One row per document with its fingerprint and its group.
-
-    Returns ``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest ``doc_id`` reachable over fingerprints that differ in at most
-    ``bits`` bits. Null, empty and blank texts have fingerprint zero, linked like any
-    other; a null id has a fingerprint and takes part, but names no group
-    unless all its group's ids are null; repeated rows are rows; an empty table
-    gives no rows; other columns are not read.
-
-    Equal fingerprints are one point, so copies cost nothing; a shard
-    returns a spanning forest, so a dense group costs one link a point.
-    """
+def _grouped(docs: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, key, fp`` of every document, and ``fp, least, root`` of every fingerprint."""
     if not 0 <= bits // len(BANDS) <= 1:
         raise ValueError("the bands are made for fewer than six bits")
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = written(
-        docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fp long"), "fingerprints"
-    )
+    plain = docs.select("doc_id", "text").withColumn("key", F.xxhash64("text"))
+    prints = written(plain.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, key long, fp long"), "fingerprints")
     points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     total = points.count()
     shards = max(1, total // SHARD_SIZE)
@@ -265,8 +252,45 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Da
     rooted = points.join(groups, points["fp"] == groups["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+    return prints, rooted
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """One row per document with its fingerprint and its group.
+
+    Returns ``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the
+    smallest ``doc_id`` reachable over fingerprints that differ in at most
+    ``bits`` bits. Null, empty and blank texts have fingerprint zero, linked like any
+    other; a null id has a fingerprint and takes part, but names no group
+    unless all its group's ids are null; repeated rows are rows; an empty table
+    gives no rows; other columns are not read.
+
+    Equal fingerprints are one point, so copies cost nothing; a shard
+    returns a spanning forest, so a dense group costs one link a point.
+    """
+    prints, rooted = _grouped(docs, shingle, bits)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_point = rooted.join(named, "root").select("fp", "component_id")
     return prints.join(of_point, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """``docs`` with one row of each group: the one with the least id (null last), of several texts of that id the one with the least hash.
+
+    All columns stay; of rows that repeat the id and the text one stays.
+    """
+    prints, rooted = _grouped(docs, shingle, bits)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    least = prints.groupBy("fp").agg(F.min(place).alias("first"))
+    chosen = (
+        least.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    order = Window.partitionBy("_id", "_key").orderBy("_key")
+    return (
+        docs.join(chosen, same).withColumn("_row", F.row_number().over(order)).where("_row = 1")
+        .select(*docs.columns)
+    )
