@@ -125,8 +125,14 @@ def test_line_round_trip(spark, tmp_path):
 
 def test_csv_round_trip(spark, tmp_path):
     reviews = sample(spark)
-    T.write_csv(reviews, f"{tmp_path}/csv", ["username", "rating", "review"])
-    back = T.read_csv(spark, f"{tmp_path}/csv", ["username", "rating", "review"])
+    names = ["username", "rating", "review"]
+    T.write_csv(reviews, f"{tmp_path}/lines", names)
+    lines = T.read_csv(spark, f"{tmp_path}/lines", names)
+    assert sorted(tuple(r) for r in lines.collect()) == sorted(
+        (r["username"] or "", r["rating"], r["review"].replace("\n", " ")) for r in reviews.collect()
+    )
+    T.write_csv(reviews, f"{tmp_path}/csv", names, one_per_line=False)
+    back = T.read_csv(spark, f"{tmp_path}/csv", names, multi_line=True)
     expected = sorted((r["username"] or "", r["rating"], r["review"]) for r in reviews.collect())
     assert sorted(tuple(r) for r in back.collect()) == expected
 

@@ -123,21 +123,58 @@ def test_hot_keys_are_dealt_over_tasks(spark, weight):
     got = lookup_join(left, lookup, ["k"], "inner", weight, rows=3, salt_rows=100)
     expected = left.join(lookup, "k")
     assert sorted(got.select("k", "id", "v").collect()) == sorted(expected.select("k", "id", "v").collect())
-    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    # without a weight it is one declarative join, left to adaptive execution
+    assert ("_salt" in got._jdf.queryExecution().optimizedPlan().toString()) == (weight is not None)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
+@pytest.mark.parametrize("weight, rows, salt_rows", [(None, 9, 9), ("n", 10**6, 10**6), ("n", 2, 10**6), ("n", 2, 5)])
+def test_null_keys_are_keys(spark, how, weight, rows, salt_rows):
+    pairs = [(None if i % 3 == 0 else "a" if i % 3 == 1 else "b", None if i % 2 else i % 5, i) for i in range(120)]
+    left = spark.createDataFrame(pairs, "k string, j int, i int").repartition(4)
+    lookup = left.where("k <> 'b' or k is null").groupBy("k", "j").agg(F.count("*").alias("n"))
+    got = lookup_join(left, lookup, ["k", "j"], how, weight, rows=rows, salt_rows=salt_rows, deal=["i"]).collect()
+    size = {}
+    for k, j, _ in pairs:
+        if k != "b":
+            size[k, j] = size.get((k, j), 0) + 1
+    found = {r["i"]: r for r in got}
+    assert len(found) == len(got)
+    for k, j, i in pairs:
+        kept = how == "left" or ((k, j) in size) == (how != "left_anti")
+        assert (i in found) == kept
+        if kept and how in ("inner", "left"):
+            assert found[i]["n"] == size.get((k, j))
 
 
 def test_large_lookup_is_not_broadcast(spark):
     left = spark.range(100).select((F.col("id") % 9).alias("k"))
-    lookup = spark.createDataFrame([(k, "x" * 100) for k in range(9)], "k bigint, text string")
-    small = lookup_join(left, lookup, ["k"])
+    lookup = spark.createDataFrame([(k, "x" * 100, 11) for k in range(9)], "k bigint, text string, n int")
+    small = lookup_join(left, lookup, ["k"], weight="n")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    by_bytes = lookup_join(left, lookup, ["k"], size=500, salt_rows=5)
-    assert "_salt" in by_bytes._jdf.queryExecution().optimizedPlan().toString()
-    too_wide = lookup_join(left, lookup, ["k"], size=5, salt_rows=5)
-    assert "_salt" not in too_wide._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(small.collect()) == sorted(by_bytes.collect()) == sorted(too_wide.collect())
+    by_bytes = lookup_join(left, lookup, ["k"], weight="n", size=500, salt_rows=5)
+    wide = lookup_join(left, lookup, ["k"], weight="n", size=5, salt_rows=5)
+    # salting stays on however wide the keys and the rows are
+    for one in (by_bytes, wide):
+        assert "_salt" in one._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(small.collect()) == sorted(by_bytes.collect()) == sorted(wide.collect())
     assert "ShuffledHashJoin" in by_bytes._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in too_wide._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in wide._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("window_rows", [None, 10**6, 10])
+def test_null_groups_are_numbered(spark, window_rows):
+    df = spark.createDataFrame([(None if i % 4 == 0 else "x", i) for i in range(100)], "city string, i int").repartition(6)
+    got = ranking.row_number_within(df, ["city"], [F.asc("i")], "n", window_rows).collect()
+    assert len(got) == 100
+    assert sorted(r["n"] for r in got if r["city"] is None) == list(range(1, 26))
+    assert sorted(r["n"] for r in got if r["city"]) == list(range(1, 76))
+
+
+def test_grouped_weights_keep_the_null_group(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "x", "a", "alpha beta") for i in range(20)], "review_id int, city string, attraction string, review string")
+    got = tfidf.tfidf(df, ["city", "attraction"], min_doc_freq=1).collect()
+    assert len({r["review_id"] for r in got}) == 20 and {r["df"] for r in got} == {10}
 
 
 def test_chunks_are_spread(spark):

@@ -17,27 +17,48 @@ from pyspark.sql.types import StringType
 
 
 def unescape(text: Column) -> Column:
-    """Character references such as ``&amp;`` and ``&#233;`` to characters."""
+    """Character references such as ``&amp;`` and ``&#233;`` to characters.
+
+    Only texts that hold an ampersand leave the JVM.
+    """
 
     # a local function travels to the executors by value: they need no copy
     # of this package
     def resolve(texts: pd.Series) -> pd.Series:
         return texts.map(entities.unescape, na_action="ignore")
 
-    return F.pandas_udf(resolve, StringType())(text)
+    marked = F.when(F.contains(text, F.lit("&")), text)
+    return F.coalesce(F.pandas_udf(resolve, StringType())(marked), text)
+
 
+# Repetitions are possessive: they are matched in a loop and never tried again, so
+# that pages without an expected end cost linear time and no stack.
 
-def _quoted(inner: str) -> str:
-    return rf"""["']{inner}["']"""
+#: what remains of a tag, with ``>`` only outside quotes
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++)"""
 
 
-def _class_value(name: str) -> str:
-    return _quoted(rf"""(?:[^"']*\s)?{name}(?:\s[^"']*)?""")
+def _before(name: str) -> str:
+    """The attributes of a tag up to the one called ``name``, and its equals sign."""
+    other = rf"""(?:[\s/]++(?!{name}\s*+=)[^\s=>"'/]++(?:\s*+=\s*+{_VALUE})?+)*+"""
+    return rf"""{other}[\s/]++{name}\s*+=\s*+"""
 
 
 def _open_tag(tag: str, name: str) -> str:
     """Pattern of an opening tag that carries the class ``name``."""
-    return rf"<{tag}\b[^>]*\bclass\s*=\s*{_class_value(name)}[^>]*>"
+    value = rf"""(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
+    return rf"<{tag}{_before('class')}{value}{_REST}"
+
+
+def _value_of(name: str) -> str:
+    """Pattern of an attribute whose value is groups 1, 2 or 3: in either kind of quotes, or bare."""
+    return rf"""{_before(name)}(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))"""
+
+
+def _until(tag: str) -> str:
+    """Everything up to the next end of ``tag``."""
+    return rf"(?:[^<]++|<(?!/{tag}[\s>]))*+"
 
 
 def _first(text: Column, pattern: str) -> Column:
@@ -48,42 +69,50 @@ def _first(text: Column, pattern: str) -> Column:
     return F.coalesce(found, F.when(F.regexp_like(text, F.lit(pattern)), ""))
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute inside one tag, in either kind of quotes."""
-    pattern = rf"""(?is)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    return F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
+def _attribute(tag: Column, element: str, name: str) -> Column:
+    """Value of an attribute of the tag that the text begins with; empty without one."""
+    pattern = rf"(?is)^<{element}{_value_of(name)}"
+    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+
+
+def without_comments(html: Column) -> Column:
+    """A page without comments, scripts and styles, whose contents are no markup."""
+    return F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*+>|\z)", "")
 
 
 def inner_text(markup: Column) -> Column:
     """Text of a piece of markup: tags removed, character references resolved."""
-    return unescape(F.regexp_replace(markup, r"(?s)<!--.*?-->|<[^>]*>", ""))
+    return unescape(F.regexp_replace(markup, rf"(?s)<!--.*?(?:-->|\z)|</?[a-zA-Z]{_REST}", ""))
 
 
 def review_count_text(html: Column) -> Column:
-    """The bracketed count of the second choice in the language filter."""
+    """The bracketed count of the second choice in the language filter.
+
+    The page is cut behind the filter's mark and then behind its list of
+    choices; what follows is matched once, from there.
+    """
+    page = without_comments(html)
+    mark = "prw_filters_detail_language"
+    behind = F.substring(page, F.nullif(F.instr(page, mark), F.lit(0)) + len(mark), F.length(page))
+    choices = _first(behind, _open_tag("div", "choices") + r"(.*+)")
+    span = _open_tag("span", "count")
+    skip = rf"(?:[^<]++|<(?!/div[\s>])(?!{span[1:]}))*+"
     return _first(
-        html,
-        r"""\bprw_filters_detail_language\b.*?"""
-        + _open_tag("div", "choices")
-        + r"""\s*<div\b[^>]*>(?:(?!</div).)*</div\s*>\s*<div\b[^>]*>(?:(?!</div).)*?"""
-        + _open_tag("span", "count")
-        + r"""([^<]*)<""",
+        choices,
+        rf"^\s*+<div\b{_REST}{_until('div')}</div\s*+>\s*+<div\b{_REST}{skip}{span}([^<]*+)<",
     )
 
 
 def heading(html: Column, element_id: str | None = None) -> Column:
     """Markup inside the first ``h1``, or inside the one with the given id."""
-    wanted = "" if element_id is None else rf"""\bid\s*=\s*{_quoted(element_id)}[^>]*"""
-    return _first(html, rf"""<h1\b[^>]*{wanted}>(.*?)</h1\s*>""")
+    wanted = "" if element_id is None else rf"""{_before('id')}(?:"{element_id}"|'{element_id}'|{element_id}(?=[\s>]))"""
+    return _first(without_comments(html), rf"""<h1(?=[\s>]){wanted}{_REST}({_until('h1')})</h1\s*+>""")
 
 
 def review_ids(html: Column) -> Column:
     """Ids of the reviews on a page; each is written twice, so every second one."""
-    return every_second(
-        F.regexp_extract_all(
-            html, F.lit(r"""(?is)<div\b[^>]*\bdata-reviewid\s*=\s*["']([^"']*)["']"""), 1
-        )
-    )
+    value = rf"""(?is)<div{_before('data-reviewid')}["']?+([^"'\s>]*+)"""
+    return every_second(F.regexp_extract_all(without_comments(html), F.lit(value), 1))
 
 
 def every_second(items: Column) -> Column:
@@ -104,42 +133,39 @@ def review_blocks(html: Column) -> Column:
     """The page cut at each review block; what precedes the first is dropped."""
     # blocks nest further divs, so a block runs until the next one opens
     opens = _open_tag("div", "reviewSelector")
-    parts = F.split(html, f"(?is)(?={opens})")
+    parts = F.split(without_comments(html), f"(?is)(?={opens})")
     return F.filter(parts, lambda part, i: (i > 0) | F.regexp_like(part, F.lit(f"(?is)^{opens}")))
 
 
 def block_username(block: Column) -> Column:
     """Markup of the reviewer's name, null when the block has none."""
-    return _first(
-        block, _open_tag("div", "info_text") + r"(?:(?!</div).)*?<div\b[^>]*>(.*?)</div\s*>"
-    )
+    inner = r"(?:[^<]++|<(?!/?div[\s>]))*+"
+    return _first(block, rf"""{_open_tag("div", "info_text")}{inner}<div\b{_REST}({_until("div")})</div\s*+>""")
 
 
 def block_rating(block: Column) -> Column:
     """Rating code: the second class of the bubble, after its last underscore."""
-    value = _first(block, rf"""<span\b[^>]*\bclass\s*=\s*(?={_class_value("ui_bubble_rating")})["']([^"']*)["']""")
+    tag = F.regexp_substr(block, F.lit("(?is)" + _open_tag("span", "ui_bubble_rating")))
+    value = _attribute(tag, "span", "class")
     return F.substring_index(F.get(F.split(F.trim(value), r"\s+"), F.lit(1)), "_", -1)
 
 
 def block_body(block: Column) -> Column:
-    return _first(block, _open_tag("p", "partial_entry") + r"(.*?)</p\s*>")
+    return _first(block, rf"""{_open_tag("p", "partial_entry")}({_until("p")})</p\s*+>""")
 
 
 def block_date(block: Column) -> Column:
-    return _attribute(
-        F.regexp_substr(block, F.lit("(?is)" + _open_tag("span", "ratingDate"))), "title"
-    )
+    tag = F.regexp_substr(block, F.lit("(?is)" + _open_tag("span", "ratingDate")))
+    return _attribute(tag, "span", "title")
 
 
 def overall_rating(html: Column) -> Column:
-    return _first(html, r"""<[a-z]+\b[^>]*\bclass\s*=\s*""" + _class_value("overallRating") + r"[^>]*>(.*?)</")
+    return _first(without_comments(html), _open_tag("[a-z]++", "overallRating") + r"([^<]*+)</")
 
 
 def about_text(html: Column) -> Column:
     """Markup of the first span of the second part of the about card."""
-    return _first(
-        html,
-        r"""\bid\s*=\s*["']taplc_location_detail_about_card_0["'][^>]*>"""
-        r"""\s*<div\b[^>]*>\s*<div\b[^>]*>\s*<div\b[^>]*>(?:(?!</div).)*</div\s*>"""
-        r"""\s*<div\b[^>]*>\s*<span\b[^>]*>(.*?)</span\s*>""",
-    )
+    mark = "taplc_location_detail_about_card_0"
+    card = _first(without_comments(html), rf"""<[a-z]++{_before('id')}["']?+{mark}["']?+(?=[\s>]){_REST}(.*+)""")
+    div = rf"\s*+<div\b{_REST}"
+    return _first(card, rf"""^{div}{div}{div}{_until("div")}</div\s*+>{div}\s*+<span\b{_REST}({_until("span")})</span\s*+>""")

@@ -66,15 +66,12 @@ def key_attraction(key: Column) -> Column:
     return F.regexp_extract(key, r"^_?(d\d+)-Reviews-(.+)$", 2)
 
 
-def url_geo_id(url: Column) -> Column:
-    """The geo id inside a full attraction address."""
-    return F.regexp_extract(url, r"Attraction_Review-(g\d+)-", 1)
-
-
 def _path_parts(path: Column) -> Column:
     # paths from file metadata are percent-encoded; a literal plus stays a plus
     decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.split(F.coalesce(decoded, path), "/")
+    # a file of many parts is a folder of that name
+    whole = F.regexp_replace(F.coalesce(decoded, path), r"(\.txt)/part-[^/]*$", "$1")
+    return F.split(whole, "/")
 
 
 def path_city(path: Column) -> Column:

@@ -37,11 +37,19 @@ def balanced(
     reaches the scan: no class is sorted, shuffled or gathered in one task.
     """
     cutoffs = class_cutoffs(reviews, key, skip_empty)
-    wanted = [
-        (F.col("rating") == code) & (F.col(key) <= F.lit(last))
-        for code, last in sorted(cutoffs.items())
-    ]
-    return reviews.filter(reduce(or_, wanted))
+    return reviews.filter(reduce(or_, [_up_to(code, key, last) for code, last in sorted(cutoffs.items())]))
+
+
+def class_samples(
+    reviews: DataFrame, key: str = "review_id", skip_empty: bool = False
+) -> dict[str, DataFrame]:
+    """The balanced sample of each star class by itself."""
+    cutoffs = class_cutoffs(reviews, key, skip_empty)
+    return {code: reviews.filter(_up_to(code, key, last)) for code, last in sorted(cutoffs.items())}
+
+
+def _up_to(code: str, key: str, last: int) -> Column:
+    return (F.col("rating") == code) & (F.col(key) <= F.lit(last))
 
 
 def class_cutoffs(
@@ -49,6 +57,8 @@ def class_cutoffs(
 ) -> dict[str, int]:
     """The key of the n-th review of each class, n being the smallest class.
 
+    Reviews without a key belong to no sample and count for no class.
+
     Every pass counts the keys of the remaining range of each class in at most
     2**PASS_BITS steps and keeps the step that holds the n-th key, so a 64-bit
     key is settled in at most six passes over two columns, and the driver sees
@@ -57,9 +67,10 @@ def class_cutoffs(
     rows = (
         reviews.filter(F.col("rating").isin(RATING_CODES))
         .groupBy("rating")
-        .agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+        .agg(F.count(key).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
         .collect()
     )
+    rows = [row for row in rows if row["n"]]
     found = {row["rating"]: row for row in rows}
     empty = [code for code in RATING_CODES if code not in found]
     if empty and not (skip_empty and found):
@@ -124,9 +135,6 @@ def _step_counts(
     return steps
 
 
-def rating_union(reviews: DataFrame, codes: list[str] = RATING_CODES) -> DataFrame:
-    """Bag union of one branch per star class.
-
-    Written as one filter: five branches would scan the reviews five times.
-    """
-    return reviews.filter(F.col("rating").isin(codes))
+def union_of(samples: dict[str, DataFrame]) -> DataFrame:
+    """Bag union of one branch per star class."""
+    return reduce(DataFrame.unionByName, samples.values())

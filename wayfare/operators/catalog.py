@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.fixed import CATALOGUE, CITIES
-from wayfare.functions.strings import attraction_link, home_link, key_attraction, key_serial, slug_title
+from wayfare.functions.strings import attraction_link, empty_if_missing, home_link, key_attraction, key_serial, slug_title
 from wayfare.operators.joins import lookup_join
 from wayfare.operators.ranking import display_result
 
@@ -117,6 +117,30 @@ def described(ranked: DataFrame, catalog: DataFrame, info: DataFrame) -> DataFra
     )
 
 
+def attraction_table(described_ranks: DataFrame) -> DataFrame:
+    """Described ranks as rows of the relational attraction table.
+
+    ``city`` is the city's number; what the catalogue or the info page does not
+    tell is empty, an unknown rating 0: the table has no nulls. Ranks of no known city
+    are left out, as no city could be referred to; ``orphans`` finds such rows.
+    """
+    cities = _literal(
+        described_ranks.sparkSession,
+        [(i, row[0]) for i, row in enumerate(CITIES, start=1)],
+        T.StructType([T.StructField("_id", T.IntegerType()), T.StructField("city", T.StringType())]),
+    )
+    filled = described_ranks.join(F.broadcast(cities), "city").select(
+        F.col("rank").cast("int").alias("ranking"),
+        F.col("_id").alias("city"),
+        slug_title(F.col("attraction")).alias("title"),
+        empty_if_missing(F.col("about")).alias("about"),
+        empty_if_missing(F.col("serial")).alias("serialNum"),
+        F.coalesce(F.col("rating").cast("double"), F.lit(0.0)).alias("rating"),
+        display_result(F.col("rank")).cast("double").alias("result"),
+    )
+    return filled.select(*ATTRACTION_TABLE.names)
+
+
 def site_view(described_ranks: DataFrame) -> DataFrame:
     """What the site shows per attraction: titles, links, display value."""
     shown = with_city(described_ranks)

@@ -72,7 +72,8 @@ def expand_pages(
 
     Offsets run 0, 10, 20 and on while they do not exceed the count. A listing
     is first cut into chunks, so that one with very many pages is numbered by
-    many tasks rather than by the one that holds its row.
+    many tasks rather than by the one that holds its row. Listings without
+    a count have no pages; ``uncounted`` keeps them aside.
     """
     reach = page_size * chunk_pages
     counted = listings.filter(F.col("num_reviews") >= 0)
@@ -91,6 +92,11 @@ def expand_pages(
     )
 
 
+def uncounted(listings: DataFrame) -> DataFrame:
+    """Listings whose number of reviews is missing or negative: pages to fetch again."""
+    return listings.filter(F.coalesce(F.col("num_reviews"), F.lit(-1)) < 0)
+
+
 def until_short_page(
     pages: DataFrame, group: Sequence[str], offset: str = "offset", items: str = "n_items"
 ) -> DataFrame:

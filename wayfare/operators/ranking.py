@@ -10,27 +10,29 @@ from pyspark.sql import functions as F
 from wayfare.cluster import materialise
 from wayfare.operators.joins import lookup_join
 
-#: the largest group that one window task is given
-WINDOW_ROWS = 1_000_000
-
 
 def row_number_within(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
     out: str,
-    window_rows: int = WINDOW_ROWS,
+    window_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1; ``order`` must leave no ties.
 
-    The largest group is measured first. Up to ``window_rows`` a plain window
-    does it; beyond, the sorted range partitions of a group are numbered side
-    by side and shifted by what lies before them.
+    A null group is a group like others. By default a window in the plan, for
+    which no job runs beforehand: a task sorts each group, on disk if need be.
+    ``window_rows`` asks to measure first; if the largest group has more rows than
+    that, the sorted range partitions of a group are numbered side by side
+    and shifted by what lies before them.
     """
+    window = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    if window_rows is None:
+        return df.withColumn(out, window)
     held = materialise(df)
     largest = held.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     if largest <= window_rows:
-        return held.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        return held.withColumn(out, window)
     return _numbered_by_ranges(held, list(group), list(order), out)
 
 

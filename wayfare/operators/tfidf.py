@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.cluster import written
 from wayfare.functions.fixed import MIN_DOC_FREQ, STOP_WORDS
 from wayfare.functions.text import clean_text, content_tokens, term_counts
 from wayfare.operators.joins import lookup_join
@@ -25,26 +26,18 @@ def review_terms(
     return pairs.filter(F.col("term").isNotNull()).withColumn("tf", F.col("tf").cast("bigint"))
 
 
-def term_idf(
-    reviews: DataFrame,
-    group: Sequence[str] = (),
-    min_doc_freq: int = MIN_DOC_FREQ,
-    words: Sequence[str] = STOP_WORDS,
+def _weighed(
+    pairs: DataFrame, reviews: DataFrame, group: Sequence[str], min_doc_freq: int
 ) -> DataFrame:
-    """``(group..., term, df, idf)``; rare terms weigh 0.
+    """``(group..., term, df, idf)`` of counted pairs, one row per review and term.
 
     Document frequencies are summed before the shuffle, so a term that occurs
     in every review costs one row per task.
     """
-    terms = reviews.select(*group, F.explode_outer(F.array_distinct(_words(words))).alias("term"))
-    freqs = (
-        terms.filter(F.col("term").isNotNull())
-        .groupBy(*group, "term")
-        .agg(F.count("*").alias("df"))
-    )
+    freqs = pairs.groupBy(*group, "term").agg(F.count("*").alias("df"))
     if group:
         sizes = reviews.groupBy(*group).agg(F.count("*").alias("m"))
-        freqs = lookup_join(freqs, sizes, group, "inner", weight="m")
+        freqs = lookup_join(freqs, sizes, group, "inner")
         m = F.col("m")
     else:
         m = reviews.agg(F.count("*").alias("m")).scalar()
@@ -52,6 +45,17 @@ def term_idf(
     return freqs.withColumn("idf", idf).select(*group, "term", "df", "idf")
 
 
+def term_idf(
+    reviews: DataFrame,
+    group: Sequence[str] = (),
+    min_doc_freq: int = MIN_DOC_FREQ,
+    words: Sequence[str] = STOP_WORDS,
+) -> DataFrame:
+    """``(group..., term, df, idf)``; rare terms weigh 0, a null group is a group."""
+    terms = reviews.select(*group, F.explode_outer(F.array_distinct(_words(words))).alias("term"))
+    return _weighed(terms.filter(F.col("term").isNotNull()), reviews, group, min_doc_freq)
+
+
 def tfidf(
     reviews: DataFrame,
     group: Sequence[str] = (),
@@ -61,9 +65,11 @@ def tfidf(
     """``(group..., review_id, term, tf, df, idf, tfidf)``.
 
     With ``group`` the inverse document frequencies are refitted inside each
-    group. Frequent words make this join skewed by nature; see ``lookup_join``.
+    group, the null group included. Texts are tokenised once, into a written table
+    of pairs that both sides of the join read. Frequent words make this join
+    skewed by nature; see ``lookup_join``.
     """
-    pairs = review_terms(reviews, [*group, "review_id"], words)
-    weights = term_idf(reviews, group, min_doc_freq, words)
-    joined = lookup_join(pairs, weights, [*group, "term"], "inner", weight="df")
+    pairs = written(review_terms(reviews, [*group, "review_id"], words), "term-pairs")
+    weights = _weighed(pairs, reviews, group, min_doc_freq)
+    joined = lookup_join(pairs, weights, [*group, "term"], "inner", weight="df", deal=["review_id"])
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))

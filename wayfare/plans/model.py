@@ -98,16 +98,17 @@ def fit(
     ``counting`` replaces the default ``counting_stages()``.
     """
     counting = counting or counting_stages()
+    # every iteration waits for its largest task and is a job over all partitions: rows are
+    # dealt out evenly, over as many tasks as their number is worth
+    tasks = -(-train.count() // ROWS_PER_TASK)
+    dealt = train.select("rating", "review").repartition(max(1, tasks), F.xxhash64("rating", "review"))
     # tokenised once; three fits read the counts
-    counts = counting.transform(train).select("rating", "tf_review")
+    counts = counting.transform(dealt).select("rating", "tf_review")
     counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         weights = idf_stage(min_doc_freq).fit(counts)
         indexer = StringIndexer(inputCol="rating", outputCol="label").fit(counts)
         examples = indexer.transform(weights.transform(counts)).select("label", "features")
-        # every iteration is a job over all partitions: few rows, few partitions
-        tasks = -(-weights.numDocs // ROWS_PER_TASK)
-        examples = examples.coalesce(max(1, tasks))
         classifier = LogisticRegression(
             maxIter=max_iter, labelCol="label", featuresCol="features"
         ).fit(examples)

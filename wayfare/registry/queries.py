@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.cluster import scratch_path
+from wayfare.cluster import materialise, scratch_path
 from wayfare.functions import html as H
 from wayfare.functions import strings as S
 from wayfare.functions import text as X
-from wayfare.functions.fixed import CITIES, RATING_CODES, REVIEW_FIELDS, STOP_WORDS
+from wayfare.functions.fixed import CATALOGUE, CITIES, RATING_CODES, REVIEW_FIELDS, STOP_WORDS
 from wayfare.operators import balance, catalog, crawl, labels, profile, ranking, scores, split, tfidf
 from wayfare.operators.joins import lookup_join
 from wayfare.plans import model as M
-from wayfare.plans.rank_city import rank_city, rank_observed
+from wayfare.plans.rank_city import publish, rank_city, rank_observed
 from wayfare.registry import views as V
 from wayfare.sources import lines as L
 from wayfare.sources import ranked as R
@@ -47,9 +47,22 @@ _VIEWS = {
         select review_id, city, attraction,
                case review_id % 37 when 5 then 'n/a' when 6 then '0' else rating end as rating
         from reviews""",
+    "barred": """
+        select * replace (case review_id % 5 when 0 then '|' || review || '||x|' when 1 then review || '|'
+                               when 2 then '&#124;|' || review else review end as review)
+        from reviews""",
+    "first_rows": """
+        select row_number() over (order by review_id) - 1 as position, * from reviews order by review_id limit 5""",
+    "placed": "select * replace (case when review_id % 41 <> 3 then city end as city) from reviews",
+    "telling": """
+        select * replace (left(review, 60) || ' ' || repeat(' starword' || translate(rating, '123450', 'abcdez'), 6)
+                          as review)
+        from reviews""",
     "wholes": r"""
-        select *, username || '||' || rating || '||'
-               || regexp_replace(review, '[\r\n]+', ' ', 'g') || '||' || date as whole
+        select *, username || '||' || rating || '||' || replace(replace(replace(replace(
+                   regexp_replace(replace(regexp_replace(review, '[\r\n]+', ' ', 'g'), '&#', '&#38;#'), '^\||\|$', '&#124;', 'g'),
+                   '|||', '&#124;&#124;&#124;'), '||', '&#124;&#124;'), '&#124;|', '&#124;&#124;'), '|&#124;', '&#124;&#124;')
+               || '||' || date as whole
         from reviews""",
     "lines": """
         select review_id, city, attraction,
@@ -104,8 +117,29 @@ _VIEWS = {
                row_number() over (partition by attraction, doc_page order by review_id) - 1 as position
         from (select *, review_id // 200 as doc_page from reviews)""",
 }
+_VIEWS["training"] = f"""
+    select review_id, rating,
+           case when cast('0x' || substr(md5(review_id || ':2000'), 1, 8) as bigint) < 3865470566
+                then 'train' else 'test' end as split
+    from (select *, row_number() over (partition by rating order by review_id) as place
+          from reviews where city <> '{HELD_OUT}')
+    where place <= (select min(n) from (select count(*) as n from reviews
+                                        where city <> '{HELD_OUT}' group by rating))"""
+_VIEWS["training_labels"] = """
+    select rating, row_number() over (order by count(*) desc, rating) - 1 as label
+    from training where split = 'train' group by rating"""
 _NEEDS = {
+    "training": ["reviews"],
+    "training_labels": ["training"],
     "dirty": ["reviews"],
+    "barred": ["reviews"],
+    "placed": ["reviews"],
+    "placed_pairs": ["placed", "stops"],
+    "first_rows": ["reviews"],
+    "telling": ["reviews"],
+    "site": ["ranked", "tiers", "cities"],
+    "real_keys": ["cities"],
+    "visits": ["reviews", "real_keys"],
     "wholes": ["reviews"],
     "lines": ["wholes"],
     "cleaned": ["reviews"],
@@ -155,19 +189,34 @@ def query(name: str, sql: str | None = None, uses: str = "") -> Callable[[Query]
 
 @query(
     "s1_text_scan",
-    # a body that ends in one bar gives it to the date: the format cannot tell
-    """select city, attraction, parts[1] as username, parts[2] as rating,
-              parts[3] as review, parts[4] as date, len(parts) as field_count
-       from (select city, attraction, string_split(whole, '||') as parts from wholes)""",
-    "wholes",
+    # the fields as they were, but for line breaks: bars at the ends of a body come back
+    r"""select city, attraction, username, rating, regexp_replace(review, '[\r\n]+', ' ', 'g') as review, date,
+              4 as field_count
+       from barred""",
+    "barred",
 )
 def s1_text_scan(spark, sf_dir):
     path = scratch_path(spark, "lines")
-    L.write_lines(V.reviews(spark, sf_dir), path)
-    parsed = L.parse_lines(L.scan_partitioned(spark, path))
+    L.write_lines(V.barred_reviews(spark, sf_dir), path)
+    parsed = L.parse_lines(L.scan_partitioned(spark, path), bars=True)
     return parsed.select("city", "attraction", *REVIEW_FIELDS, "field_count")
 
 
+@query(
+    "s2_city_folders",
+    "select city, attraction, count(*) as n, sum(length(review)) as chars from reviews group by all",
+    "reviews",
+)
+def s2_city_folders(spark, sf_dir):
+    """The layout of collected files: ``<city>/<attraction>.txt``, names from the path."""
+    path = scratch_path(spark, "folders")
+    L.write_city_folders(V.reviews(spark, sf_dir), path)
+    scanned = L.reviews_of(L.scan_city_folders(spark, f"{path}/*/*.txt"), bars=True)
+    return scanned.groupBy("city", "attraction").agg(
+        F.count("*").alias("n"), F.sum(F.length("review")).alias("chars")
+    )
+
+
 @query(
     "s2_attraction_scan",
     "select city, attraction, count(*) as n from reviews group by all",
@@ -221,7 +270,11 @@ def s6_format_lines(spark, sf_dir):
     return V.reviews(spark, sf_dir).select("review_id", L.review_line().alias("line"))
 
 
-@query("s7_csv_round_trip", "select date, rating, review, username from reviews", "reviews")
+@query(
+    "s7_csv_round_trip",
+    r"select date, rating, regexp_replace(review, '[\r\n]+', ' ', 'g') as review, username from reviews",
+    "reviews",
+)
 def s7_csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
     headers = ["username", "rating", "review", "date"]
@@ -231,22 +284,29 @@ def s7_csv_round_trip(spark, sf_dir):
 
 @query(
     "s8_landing",
-    "select review_id, username, rating, review, date, city, attraction from reviews where city = 'paris'",
+    "select review_id, username, rating, review, date, city, attraction, city = 'paris' as scanned from reviews",
     "reviews",
 )
 def s8_landing(spark, sf_dir):
+    """All that was landed; a scan for one city finds that city's reviews."""
     path = scratch_path(spark, "reviews")
     T.land_reviews(V.reviews(spark, sf_dir), path)
-    return T.of_city(T.landed_reviews(spark, path), "paris")
+    landed = T.landed_reviews(spark, path)
+    one, rest = T.of_city(landed, "paris"), T.except_city(landed, "paris")
+    return one.withColumn("scanned", F.lit(True)).unionByName(rest.withColumn("scanned", F.lit(False)))
 
 
-@query("s9_ranked_lines", "select city, attraction as line from ranked", "ranked")
+@query("s9_ranked_lines", "select city, attraction as line, rank as line_no from ranked", "ranked")
 def s9_ranked_lines(spark, sf_dir):
-    path = scratch_path(spark, "ranked")
-    R.write_ranked(k2_rank(spark, sf_dir), path)
-    return spark.read.schema("value string, city string").text(path).select(
-        "city", F.col("value").alias("line")
-    )
+    """The published form, one file a city, read in the order of its lines."""
+    path = scratch_path(spark, "published")
+    ranked = k2_rank(spark, sf_dir)
+    out = None
+    for city, *_ in CITIES:
+        R.export_city(ranked, city, f"{path}/{city}.txt")
+        listed = R.read_city_file(spark, f"{path}/{city}.txt", city)
+        out = listed if out is None else out.unionByName(listed)
+    return out.select("city", F.col("attraction").alias("line"), F.col("rank").alias("line_no"))
 
 
 @query("s10_read_ranked", "select city, attraction, rank from ranked", "ranked")
@@ -256,14 +316,39 @@ def s10_read_ranked(spark, sf_dir):
     return R.read_ranked(spark, path)
 
 
+_SITE = """
+    select cast(r.rank as int) as ranking, c.id as city, replace(r.attraction, '_', ' ') as title,
+           coalesce(i.about, '') as about, coalesce(k.serial, '') as "serialNum",
+           coalesce(cast(i.rating as double), 0.0) as rating, cast(100 - 5 * (r.rank - 1) as double) as result
+    from ranked r join cities c using (city)
+    left join (select city, attraction, max(serial) as serial from tiers group by all) k using (city, attraction)
+    left join (select city, attraction, 'about ' || min(username) as about, max(cast(rating as int)) / 10 as rating
+               from reviews where num % 3 <> 1 group by all) i using (city, attraction)"""
+_VIEWS["site"] = _SITE
+
+
+def _site_table(spark, sf_dir):
+    parsed = catalog.one_tier(catalog.parse_keys(V.catalogue_keys(spark, sf_dir)))
+    return catalog.attraction_table(
+        catalog.described(k2_rank(spark, sf_dir), parsed, V.info_rows(spark, sf_dir))
+    )
+
+
 @query(
     "s11_fk_check",
-    """select num % 4 + 1 as city, attraction, count(*) as n from reviews
-       where num % 4 + 1 not in (1, 2, 3) group by all""",
-    "reviews",
+    # every fifth rank refers to a city that is not there
+    """select * replace (city + 3 as city) from site where ranking % 5 = 0""",
+    "site",
 )
 def s11_fk_check(spark, sf_dir):
-    return catalog.orphans(V.attraction_rows(spark, sf_dir), catalog.city_table(spark))
+    shifted = F.when(F.col("ranking") % 5 == 0, F.col("city") + 3).otherwise(F.col("city"))
+    table = _site_table(spark, sf_dir).withColumn("city", shifted)
+    return catalog.orphans(table, catalog.city_table(spark))
+
+
+@query("s11_attraction_table", "select * from site", "site")
+def s11_attraction_table(spark, sf_dir):
+    return _site_table(spark, sf_dir)
 
 
 @query("s12_scan_pages", "select page_id, url, md5(html) as digest, length(html) as chars from pages")
@@ -380,18 +465,42 @@ def p10_tier(spark, sf_dir):
     return catalog.in_tier(parsed).select("city", "serial", "attraction", "tier")
 
 
+_REAL = ", ".join(f"('{city}', '{tier}', '{key}')" for (city, tier), keys in CATALOGUE.items() for key in keys)
+_VIEWS["real_keys"] = rf"""
+    select city, regexp_extract(key, '^_?(d\d+)-Reviews-(.+)$', 1) as serial,
+           regexp_extract(key, '^_?(d\d+)-Reviews-(.+)$', 2) as attraction, max(tier) as tier
+    from (values {_REAL}) as k(city, tier, key) group by all"""
+_VIEWS["visits"] = """
+    select r.review_id, r.rating, r.city, names[r.num % len(names) + 1] as attraction
+    from reviews r join (select city, list(attraction order by attraction) as names from real_keys group by city) n using (city)"""
+
+
+@query(
+    "p10_real_catalogue",
+    """select k.city, c.geo_id, k.tier, k.serial, k.attraction, count(v.review_id) as n
+       from real_keys k join cities c using (city)
+       left join visits v using (city, attraction) where k.tier = '11-30' group by all""",
+    "real_keys visits cities",
+)
+def p10_real_catalogue(spark, sf_dir):
+    """The scored tier of the real catalogue with the reviews landed for it."""
+    path = scratch_path(spark, "visits")
+    T.land_reviews(V.visited(spark, sf_dir), path)
+    counted = T.landed_reviews(spark, path).groupBy("city", "attraction").agg(F.count("*").alias("n"))
+    joined = lookup_join(catalog.in_tier(catalog.catalogue(spark)), counted, ["city", "attraction"])
+    return joined.withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 # --- joins ---------------------------------------------------------------------------
 
 
 @query(
     "j1_city_join",
-    """select a.city, a.attraction, a.n, c.name as city_title, c.geo_id as city_serial
-       from (select num % 4 + 1 as city, attraction, count(*) as n from reviews group by all) a
-       join cities c on c.id = a.city""",
-    "reviews cities",
+    "select s.*, c.name as city_title, c.geo_id as city_serial from site s join cities c on c.id = s.city",
+    "site cities",
 )
 def j1_city_join(spark, sf_dir):
-    return catalog.attractions_of_cities(V.attraction_rows(spark, sf_dir), catalog.city_table(spark))
+    return catalog.attractions_of_cities(_site_table(spark, sf_dir), catalog.city_table(spark))
 
 
 @query(
@@ -502,21 +611,30 @@ def a6_observed_score(spark, sf_dir):
     return scores.observed_scores(V.dirty_reviews(spark, sf_dir))
 
 
-@query("a7_predicted_score")
+@query(
+    "a7_predicted_score",
+    # the texts tell their rating, so the model's stars are the stars given
+    f"select city, attraction, n, score from scores where city = '{HELD_OUT}'",
+    "scores",
+)
 def a7_predicted_score(spark, sf_dir):
-    reviews = V.texts(spark, sf_dir)
+    reviews = V.telling_reviews(spark, sf_dir)
     train, _ = M.training_parts(reviews, HELD_OUT)
     return M.predicted_scores(M.fit(train), T.of_city(reviews, HELD_OUT))
 
 
-@query("a8_accuracy")
+@query(
+    "a8_accuracy",
+    "select count(*) as n_test, count(*) as n_correct, 1.0 as accuracy from training where split = 'test'",
+    "training",
+)
 def a8_accuracy(spark, sf_dir):
-    train, test = M.training_parts(V.texts(spark, sf_dir), HELD_OUT)
+    train, test = M.training_parts(V.telling_reviews(spark, sf_dir), HELD_OUT)
     return M.accuracy(M.fit(train), test)
 
 
 @query(
-    "a9_schema_report",
+    "a9_filled_report",
     """select 'review_id' as "column", 'bigint' as type, count(review_id) as filled from reviews
        union all select 'username', 'string', count(username) from reviews
        union all select 'rating', 'string', count(rating) from reviews
@@ -526,6 +644,15 @@ def a8_accuracy(spark, sf_dir):
        union all select 'attraction', 'string', count(attraction) from reviews""",
     "reviews",
 )
+def a9_filled_report(spark, sf_dir):
+    return profile.schema_report(V.reviews(spark, sf_dir), filled=True)
+
+
+@query(
+    "a9_schema_report",
+    """select unnest(['review_id', 'username', 'rating', 'review', 'date', 'city', 'attraction']) as "column",
+              unnest(['bigint', 'string', 'string', 'string', 'string', 'string', 'string']) as type""",
+)
 def a9_schema_report(spark, sf_dir):
     return profile.schema_report(V.reviews(spark, sf_dir))
 
@@ -561,16 +688,37 @@ def r3_md5_split(spark, sf_dir):
     return split.with_split(V.reviews(spark, sf_dir).select("review_id"))
 
 
-@query("r3_random_split", "select review_id, 1 as in_parts from reviews", "reviews")
+@query(
+    "r3_random_split",
+    # a tenth of n rows, give or take four standard deviations
+    "select count(*) as n, count(*) as together, true as about_a_tenth, 0 as twice from reviews",
+    "reviews",
+)
 def r3_random_split(spark, sf_dir):
     train, test = split.random_parts(V.reviews(spark, sf_dir).select("review_id"))
-    return train.unionByName(test).groupBy("review_id").agg(F.count("*").alias("in_parts"))
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    seen = parts.groupBy("review_id").agg(F.count("*").alias("times"), F.min("part").alias("part"))
+    n, held = F.count("*"), F.count_if(F.col("part") == "test")
+    return seen.agg(
+        n.alias("n"),
+        F.sum("times").cast("bigint").alias("together"),
+        (F.abs(held - n / 10) < 4 * F.sqrt(n * 0.09)).alias("about_a_tenth"),
+        F.count_if(F.col("times") > 1).alias("twice"),
+    )
 
 
-@query("k1_sorted_scores", "select city, attraction, score from scores order by score desc, attraction", "scores")
+@query(
+    "k1_sorted_scores",
+    """select city, attraction, score, row_number() over (order by score desc, attraction) as place
+       from scores""",
+    "scores",
+)
 def k1_sorted_scores(spark, sf_dir):
+    """Sorted scores with the place each row comes at."""
     by_score = scores.observed_scores(V.reviews(spark, sf_dir)).select("city", "attraction", "score")
-    return by_score.orderBy(F.desc("score"), F.asc("attraction"))
+    ordered = materialise(by_score.orderBy(F.desc("score"), F.asc("attraction")))
+    placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return ranking.row_number_within(placed, [], [F.asc("_at")], "place").drop("_at")
 
 
 @query("k2_rank", "select city, attraction, n, score, rank from ranked", "ranked")
@@ -578,6 +726,18 @@ def k2_rank(spark, sf_dir):
     return ranking.rank_scores(scores.observed_scores(V.reviews(spark, sf_dir)))
 
 
+@query(
+    "k2_rank_unplaced",
+    """select city, attraction, n, score, row_number() over (partition by city order by score desc, attraction) as rank
+       from (select city, attraction, count(*) as n, cast(sum(cast(rating as int) // 10) as bigint) / count(*) as score
+             from placed group by all)""",
+    "placed",
+)
+def k2_rank_unplaced(spark, sf_dir):
+    """Reviews without a city are ranked among themselves."""
+    return ranking.rank_scores(scores.observed_scores(V.partly_placed(spark, sf_dir)))
+
+
 @query("k3_result", "select city, attraction, rank, 100 - 5 * (rank - 1) as result from ranked", "ranked")
 def k3_result(spark, sf_dir):
     ranked = k2_rank(spark, sf_dir).select("city", "attraction", "rank")
@@ -586,11 +746,16 @@ def k3_result(spark, sf_dir):
 
 @query(
     "u1_union",
-    "select review_id, rating from dirty where rating in ('10','20','30','40','50')",
+    """select review_id, rating
+       from (select *, row_number() over (partition by rating order by review_id) as place from dirty
+             where rating in ('10','20','30','40','50'))
+       where place <= (select min(n) from (select count(*) as n from dirty
+                       where rating in ('10','20','30','40','50') group by rating))""",
     "dirty",
 )
 def u1_union(spark, sf_dir):
-    return balance.rating_union(V.dirty_reviews(spark, sf_dir)).select("review_id", "rating")
+    samples = balance.class_samples(V.dirty_reviews(spark, sf_dir).select("review_id", "rating"))
+    return balance.union_of(samples)
 
 
 # --- scalar functions --------------------------------------------------------------------
@@ -822,6 +987,22 @@ def h6_pagination(spark, sf_dir):
     return crawl.expand_pages(V.listings(spark, sf_dir)).drop("url")
 
 
+@query(
+    "h6_uncounted",
+    """select city, attraction, cast(null as bigint) as num_reviews, 0 as pages
+       from reviews where num % 6 = 5 group by all
+       union all
+       select city, attraction, count(*), count(*) // 10 + 1 from reviews where num % 6 <> 5 group by all""",
+    "reviews",
+)
+def h6_uncounted(spark, sf_dir):
+    """Listings without a count are kept aside, the others have their pages."""
+    listed = V.partly_counted(spark, sf_dir)
+    paged = crawl.expand_pages(listed).groupBy("city", "attraction", "num_reviews").agg(F.count("*").alias("pages"))
+    aside = crawl.uncounted(listed).select("city", "attraction", "num_reviews", F.lit(0).cast("bigint").alias("pages"))
+    return paged.unionByName(aside)
+
+
 @query(
     "h7_stop_rule",
     """select city, attraction, "offset", n_items
@@ -829,7 +1010,8 @@ def h6_pagination(spark, sf_dir):
                        over (partition by city, attraction order by "offset"
                              rows between unbounded preceding and 1 preceding) as ended
              from (select city, attraction, (review_id // 200) * 10 as "offset",
-                          count(*) filter (where length(review) >= 250) as n_items
+                          count(*) filter (where (review_id // 200 + num) % 4 <> 3
+                                           and ((review_id // 200 + num) % 3 <> 2 or review_id % 3 = 0)) as n_items
                    from reviews group by all))
        where coalesce(ended, 0) = 0 and n_items > 0""",
     "reviews",
@@ -981,6 +1163,29 @@ def t7_group_tfidf(spark, sf_dir):
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
+_VIEWS["placed_pairs"] = """
+    select city, attraction, review_id, term, count(*) as tf
+    from (select review_id, city, attraction,
+                 unnest(list_filter(string_split(regexp_replace(lower(review), '[^A-Za-z ]+', '', 'g'), ' '), lambda x: x <> '')) as term
+          from placed) where term not in (select stop from stops) group by all"""
+
+
+@query(
+    "t7_unplaced_tfidf",
+    f"""select p.city, p.attraction, p.review_id, p.term, p.tf, d.df, round(p.tf * {_IDF}, 6) as tfidf
+        from placed_pairs p
+        join (select city, attraction, term, count(*) as df from placed_pairs group by all) d
+          on p.city is not distinct from d.city and p.attraction = d.attraction and p.term = d.term
+        join (select city, attraction, count(*) as m from placed group by all) s
+          on p.city is not distinct from s.city and p.attraction = s.attraction""",
+    "placed_pairs",
+)
+def t7_unplaced_tfidf(spark, sf_dir):
+    """Reviews without a city weigh their terms among themselves."""
+    weighted = tfidf.tfidf(V.partly_placed(spark, sf_dir), labels.ATTRACTION).drop("idf")
+    return weighted.withColumn("tfidf", F.round("tfidf", 6))
+
+
 # --- model -----------------------------------------------------------------------------------
 
 
@@ -1004,30 +1209,23 @@ def m2_group_label_index(spark, sf_dir):
     return labels.label_index(V.reviews(spark, sf_dir), labels.ATTRACTION)
 
 
-_TRAINING = f"""
-    select review_id, rating,
-           case when cast('0x' || substr(md5(review_id || ':2000'), 1, 8) as bigint) < 3865470566
-                then 'train' else 'test' end as split
-    from (select *, row_number() over (partition by rating order by review_id) as place,
-                 count(*) over (partition by rating) as n
-          from reviews where city <> '{HELD_OUT}')
-    where place <= (select min(n) from (select count(*) as n from reviews
-                                        where city <> '{HELD_OUT}' group by rating))"""
+@query(
+    "m2_unplaced_label_index",
+    f"select city, attraction, rating, n, cast(label as double) as label from ({_GROUP_LABELS.format(table='placed')})",
+    "placed",
+)
+def m2_unplaced_label_index(spark, sf_dir):
+    return labels.label_index(V.partly_placed(spark, sf_dir), labels.ATTRACTION)
 
 
-@query("m6_training_parts", _TRAINING, "reviews")
+@query("m6_training_parts", "select * from training", "training")
 def m6_training_parts(spark, sf_dir):
     train, test = M.training_parts(V.reviews(spark, sf_dir), HELD_OUT)
     marked = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     return marked.select("review_id", "rating", "split")
 
 
-@query(
-    "m1_training_labels",
-    f"""select rating, row_number() over (order by count(*) desc, rating) - 1 as label
-        from ({_TRAINING}) where split = 'train' group by rating""",
-    "reviews",
-)
+@query("m1_training_labels", "select rating, label from training_labels", "training_labels")
 def m1_training_labels(spark, sf_dir):
     from pyspark.ml.feature import StringIndexer
 
@@ -1037,35 +1235,49 @@ def m1_training_labels(spark, sf_dir):
     return spark.createDataFrame(rows, "rating string, label bigint")
 
 
-@query("m3_model")
+@query(
+    "m3_model",
+    # of all classes a rating's own weighs its word most
+    "select rating, label, 'starword' || translate(rating, '123450', 'abcdez') as word, true as leads from training_labels",
+    "training_labels",
+)
 def m3_model(spark, sf_dir):
-    train, _ = M.training_parts(V.texts(spark, sf_dir), HELD_OUT)
+    train, _ = M.training_parts(V.telling_reviews(spark, sf_dir), HELD_OUT)
     fitted = M.fit(train)
-    rows = [
-        (rating, float(intercept), int(weights.nonzero()[0].size))
-        for rating, intercept, weights in zip(
-            fitted.labels,
-            fitted.classifier.interceptVector.toArray(),
-            fitted.classifier.coefficientMatrix.toArray(),
-        )
-    ]
-    return spark.createDataFrame(rows, "rating string, intercept double, n_weights int")
+    weights = fitted.classifier.coefficientMatrix.toArray()
+    hashing = fitted.text.stages[1]
+    rows = []
+    for label, rating in enumerate(fitted.labels):
+        word = "starword" + rating.translate(str.maketrans("123450", "abcdez"))
+        column = weights[:, hashing.indexOf(word)]
+        rows.append((rating, label, word, bool(column.argmax() == label)))
+    return spark.createDataFrame(rows, "rating string, label bigint, word string, leads boolean")
 
 
-@query("m4_apply_model")
+@query(
+    "m4_apply_model",
+    f"""select r.review_id, cast(l.label as double) as prediction, true as sure
+        from reviews r join training_labels l using (rating) where r.city = '{HELD_OUT}'""",
+    "reviews training_labels",
+)
 def m4_apply_model(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    reviews = V.texts(spark, sf_dir)
+    reviews = V.telling_reviews(spark, sf_dir)
     train, _ = M.training_parts(reviews, HELD_OUT)
     predicted = M.fit(train).predict(T.of_city(reviews, HELD_OUT))
     best = F.array_max(vector_to_array("probability"))
-    return predicted.select("review_id", "prediction", F.round(best, 6).alias("probability"))
+    return predicted.select("review_id", "prediction", (best > 0.5).alias("sure"))
 
 
-@query("m5_decode_prediction")
+@query(
+    "m5_decode_prediction",
+    f"""select cast(l.label as double) as prediction, r.rating as predicted_rating, count(*) as n
+        from reviews r join training_labels l using (rating) where r.city = '{HELD_OUT}' group by all""",
+    "reviews training_labels",
+)
 def m5_decode_prediction(spark, sf_dir):
-    reviews = V.texts(spark, sf_dir)
+    reviews = V.telling_reviews(spark, sf_dir)
     train, _ = M.training_parts(reviews, HELD_OUT)
     predicted = M.fit(train).predict(T.of_city(reviews, HELD_OUT))
     return predicted.groupBy("prediction", "predicted_rating").agg(F.count("*").alias("n"))
@@ -1076,9 +1288,42 @@ def m6_rank_city(spark, sf_dir):
     return rank_observed(V.reviews(spark, sf_dir), HELD_OUT)
 
 
-@query("m6_rank_city_predicted")
+@query(
+    "m6_rank_city_predicted",
+    f"select city, attraction, n, score, rank from ranked where city = '{HELD_OUT}'",
+    "ranked",
+)
 def m6_rank_city_predicted(spark, sf_dir):
-    return rank_city(V.texts(spark, sf_dir), HELD_OUT).predicted
+    return rank_city(V.telling_reviews(spark, sf_dir), HELD_OUT).predicted
+
+
+@query("m6_every_city_predicted", "select city, attraction, n, score, rank from ranked", "ranked")
+def m6_every_city_predicted(spark, sf_dir):
+    """Each city held out in turn."""
+    reviews, out = V.telling_reviews(spark, sf_dir), None
+    for city, *_ in CITIES:
+        ranked = rank_city(reviews, city).predicted
+        out = ranked if out is None else out.unionByName(ranked)
+    return out
+
+
+@query(
+    "m6_publish",
+    """select city, attraction, count(*) as n,
+              cast(sum(cast(parts[2] as int) // 10) as bigint) / count(*) as score,
+              row_number() over (partition by city order by cast(sum(cast(parts[2] as int) // 10) as bigint) / count(*) desc,
+                                 attraction) as rank,
+              (select count(*) from lines where len(parts) < 4) as quarantined
+       from lines where len(parts) >= 4 group by city, attraction""",
+    "lines",
+)
+def m6_publish(spark, sf_dir):
+    """From collected files, some lines of them broken, to the ranked lists of all cities."""
+    files, target = scratch_path(spark, "collected"), scratch_path(spark, "job")
+    L.write_city_lines(V.lines(spark, sf_dir), files)
+    ranked = publish(spark, files, target, [city for city, *_ in CITIES], bars=True)
+    broken = spark.read.parquet(f"{target}/quarantine").count()
+    return ranked.withColumn("quarantined", F.lit(broken).cast("bigint"))
 
 
 # --- profile ----------------------------------------------------------------------------------
@@ -1094,7 +1339,20 @@ def m6_rank_city_predicted(spark, sf_dir):
     "reviews classes",
 )
 def d1_profile(spark, sf_dir):
-    return profile.corpus_profile(V.reviews(spark, sf_dir))
+    return profile.corpus_profile(V.reviews(spark, sf_dir), key="review_id")
+
+
+@query(
+    "d1_samples",
+    " union all ".join(
+        f"""select '{c}' as "column", '{"bigint" if c == "review_id" else "string"}' as type, position, """
+        f"""cast({c} as varchar) as sample from first_rows"""
+        for c in ("review_id", "username", "rating", "review", "date", "city", "attraction")
+    ),
+    "first_rows",
+)
+def d1_samples(spark, sf_dir):
+    return profile.column_samples(V.reviews(spark, sf_dir), ["review_id"])
 
 
 @query(

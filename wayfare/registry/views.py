@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.fixed import DELIMITER
+from wayfare.operators.catalog import catalogue
 from wayfare.sources.lines import review_line
 from wayfare.sources.tables import scan_pages
 
@@ -92,25 +93,38 @@ def _escaped(text: Column) -> Column:
 
 
 def _block() -> Column:
-    """Markup of one review; every eleventh reviewer has no name."""
+    """Markup of one review; every eleventh reviewer has no name.
+
+    It is written in turn with quoted and bare attributes, with ``>`` inside
+    quotes, and with a commented block that is no review.
+    """
+    turn = F.col("review_id") % 3
     named = F.concat(
-        F.lit('<div class="info_text pointer_cursor"><div>'),
+        F.when(turn == 0, "<div class=info_text><div>")
+        .when(turn == 1, "<div data-hint='a > b' class='info_text pointer_cursor'><div>")
+        .otherwise('<div class="info_text pointer_cursor"><div>'),
         _escaped(F.col("username")),
         F.lit("</div></div>"),
     )
     key = F.col("review_id").cast("string")
     return F.concat(
+        F.when(turn == 1, '<!-- <div class="reviewSelector" data-reviewid="none"><p class="partial_entry">no</p></div> -->')
+        .otherwise(""),
         F.lit('<div class="reviewSelector" data-reviewid="'),
         key,
-        F.lit('"><div class="prw_rup" data-reviewid="'),
-        key,
-        F.lit('"><div class="member_info">'),
+        F.when(turn == 2, F.concat(F.lit('"><div title="x > y" data-reviewid='), key, F.lit(' class="prw_rup">')))
+        .otherwise(F.concat(F.lit('"><div class="prw_rup" data-reviewid="'), key, F.lit('">'))),
+        F.lit('<div class="member_info">'),
         F.when(F.col("review_id") % 11 == 0, "").otherwise(named),
         F.lit('</div><span class="ui_bubble_rating bubble_'),
         F.col("rating"),
         F.lit("\"></span><span title='"),
         F.col("date"),
-        F.lit("' class='ratingDate relativeDate'>a while ago</span><p class=\"partial_entry\">"),
+        F.when(turn == 0, "' class=ratingDate>").otherwise("' data-x=\"1 > 0\" class='ratingDate relativeDate'>"),
+        F.lit("a while ago</span>"),
+        F.when(turn == 0, "<p class=partial_entry>")
+        .when(turn == 1, '<p title="a > b" class="partial_entry">')
+        .otherwise('<p class="partial_entry">'),
         _escaped(F.col("review")),
         F.lit("</p></div></div>\n"),
     )
@@ -186,25 +200,54 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partly_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings, some of them without a number of reviews."""
+    known = F.when(_number(F.col("attraction")) % 6 != 5, F.col("num_reviews"))
+    return listings(spark, sf_dir).withColumn("num_reviews", known)
+
+
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items found on each page of a listing; some pages come short or empty."""
+    """Items found on each page of a listing: some pages are short, some empty, whole ones follow them."""
     block = F.floor(F.col("review_id") / PAGE_IDS)
+    turn = block + _number(F.col("attraction"))
+    seen = (turn % 4 != 3) & ((turn % 3 != 2) | (F.col("review_id") % 3 == 0))
     return (
         reviews(spark, sf_dir)
         .groupBy("city", "attraction", (block * 10).alias("offset"))
-        .agg(F.count_if(F.length("review") >= 250).alias("n_items"))
+        .agg(F.count_if(seen).alias("n_items"))
     )
 
 
-def attraction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attractions that refer to a city by id; some ids belong to no city."""
-    n = _number(F.col("attraction"))
-    return (
-        reviews(spark, sf_dir)
-        .groupBy("attraction")
-        .agg(F.count("*").alias("n"))
-        .select((n % 4 + 1).alias("city"), "attraction", "n")
+def barred_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews, many of their bodies with bars at the ends or two in a row."""
+    rest, body = F.col("review_id") % 5, F.col("review")
+    barred = (
+        F.when(rest == 0, F.concat(F.lit("|"), body, F.lit("||x|")))
+        .when(rest == 1, F.concat(body, F.lit("|")))
+        .when(rest == 2, F.concat(F.lit("&#124;|"), body))
     )
+    return reviews(spark, sf_dir).withColumn("review", barred.otherwise(body))
+
+
+def partly_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews, some of them without a city."""
+    city = F.when(F.col("review_id") % 41 != 3, F.col("city"))
+    return reviews(spark, sf_dir).withColumn("city", city)
+
+
+def telling_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews whose text is their first words and a word for the rating, several times."""
+    word = F.concat(F.lit("starword"), F.translate("rating", "123450", "abcdez"))
+    text = F.concat_ws(" ", F.substring("review", 1, 60), F.repeat(F.concat(F.lit(" "), word), F.lit(6)))
+    return reviews(spark, sf_dir).withColumn("review", text)
+
+
+def visited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews, their attractions named after the real catalogue's, by number within the city."""
+    names = catalogue(spark).groupBy("city").agg(F.array_sort(F.collect_list("attraction")).alias("names"))
+    named = reviews(spark, sf_dir).join(F.broadcast(names), "city")
+    place = _number(F.col("attraction")) % F.size("names") + 1
+    return named.withColumn("attraction", F.element_at("names", place)).drop("names")
 
 
 def info_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,14 +50,16 @@ def scan_partitioned(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+def parse_lines(lines: DataFrame, line: str = "line", bars: bool = False) -> DataFrame:
     """Add the four fields by position, and how many fields the line has.
 
-    A fifth field and what follows are ignored; missing fields are null.
+    A fifth field and what follows are ignored; missing fields are null. ``bars``
+    gives back the bars that ``review_line`` had to write as references.
     """
     parts = F.split(F.col(line), _SPLIT_PATTERN)
     with_parts = lines.withColumn("_parts", parts)
-    fields = {name: F.get("_parts", F.lit(i)) for i, name in enumerate(REVIEW_FIELDS)}
+    read = _with_bars if bars else (lambda field: field)
+    fields = {name: read(F.get("_parts", F.lit(i))) for i, name in enumerate(REVIEW_FIELDS)}
     return with_parts.withColumns({**fields, "field_count": F.size("_parts")}).drop("_parts")
 
 
@@ -70,20 +72,39 @@ def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("field_count") < len(REVIEW_FIELDS))
 
 
-def reviews_of(lines: DataFrame) -> DataFrame:
-    """Typed reviews from scanned lines."""
-    parsed = well_formed(parse_lines(lines))
+def reviews_of(lines: DataFrame, bars: bool = False) -> DataFrame:
+    """Typed reviews from scanned lines; ``bars`` as in ``parse_lines``."""
+    parsed = well_formed(parse_lines(lines, bars=bars))
     return parsed.select(F.col("line_id").alias("review_id"), *REVIEW_FIELDS, "city", "attraction")
 
 
+#: how a bar is written where the delimiter could be mistaken, and how that mark itself is
+_BAR, _MARK, _MARKED = "&#124;", "&#", "&#38;#"
+
+
 def one_line(text: Column) -> Column:
     """A field without line breaks, which would end its record."""
     return F.regexp_replace(empty_if_missing(text), r"[\r\n]+", " ")
 
 
+def _without_bars(field: Column) -> Column:
+    """Bars that touch another bar or an end of the field, written so that no field can end there."""
+    marked = F.replace(field, F.lit(_MARK), F.lit(_MARKED))
+    return F.regexp_replace(marked, r"(?<=\|)\||\|(?=\|)|^\||\|$", _BAR)
+
+
+def _with_bars(field: Column) -> Column:
+    """The inverse of ``_without_bars``."""
+    return F.replace(F.replace(field, F.lit(_BAR), F.lit("|")), F.lit(_MARKED), F.lit(_MARK))
+
+
 def review_line(fields: Sequence[str] = REVIEW_FIELDS) -> Column:
-    """The four fields joined by the delimiter; a missing one stays empty."""
-    return F.concat_ws(DELIMITER, *[one_line(F.col(name)) for name in fields])
+    """The four fields joined by the delimiter; a missing one stays empty.
+
+    The format has no escape, so bars that could be read as part of a delimiter
+    become character references; ``parse_lines(bars=True)`` turns them back.
+    """
+    return F.concat_ws(DELIMITER, *[_without_bars(one_line(F.col(name))) for name in fields])
 
 
 def write_lines(reviews: DataFrame, path: str) -> None:
@@ -100,3 +121,40 @@ def write_lines(reviews: DataFrame, path: str) -> None:
         .write.partitionBy("city", "attraction")
         .text(path)
     )
+
+
+def write_city_folders(reviews: DataFrame, path: str) -> None:
+    """Write review lines as ``<city>/<attraction>.txt``, the layout of collected files."""
+    write_city_lines(
+        reviews.select(review_line().alias("line"), "city", "attraction", F.col("review_id").alias("line_id")), path
+    )
+
+
+def write_city_lines(lines: DataFrame, path: str) -> None:
+    """Write ``line, city, attraction, line_id`` as ``<city>/<attraction>.txt``.
+
+    Each ``.txt`` is a folder of part files, so that an attraction of any size
+    is written by as many tasks as it needs; scans read it like a file.
+    """
+    (
+        lines.hint("rebalance", "city", "attraction")
+        .sortWithinPartitions("city", "attraction", "line_id")
+        .select(F.col("line").alias("value"), "city", F.concat("attraction", F.lit(".txt")).alias("file"))
+        .write.partitionBy("city", "file")
+        .text(path)
+    )
+    _bare_folders(lines.sparkSession, path, 2)
+
+
+def _bare_folders(spark: SparkSession, path: str, levels: int) -> None:
+    """Rename ``name=value`` folders to ``value``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = place(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(top):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            bare = place(top, name.split("=", 1)[1])
+            files.rename(status.getPath(), bare)
+            if levels > 1:
+                _bare_folders(spark, bare.toString(), levels - 1)

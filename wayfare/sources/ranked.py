@@ -23,6 +23,23 @@ def write_ranked(ranked: DataFrame, path: str) -> None:
     )
 
 
+def export_city(ranked: DataFrame, city: str, path: str) -> None:
+    """Write one city's names as a single text file in rank order, without a last line break.
+
+    The published form. Rows stream through the driver, a partition at a time.
+    """
+    spark = ranked.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = ranked.filter(F.col("city") == city).orderBy("rank").select("attraction").toLocalIterator()
+    out = files.create(place, True)
+    try:
+        for i, row in enumerate(names):
+            out.write(bytearray((("\n" if i else "") + row["attraction"]).encode()))
+    finally:
+        out.close()
+
+
 def read_ranked(spark: SparkSession, path: str) -> DataFrame:
     """Read the lists back and number the lines: ``(city, attraction, rank)``."""
     lines = spark.read.schema("value string, city string").text(path).select(

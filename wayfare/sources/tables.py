@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.strings import empty_if_missing
-from wayfare.sources.lines import REVIEWS
+from wayfare.sources.lines import REVIEWS, one_line
 
 #: quotes are doubled and blanks kept, as common CSV writers do
 _CSV = {
@@ -21,20 +21,24 @@ _CSV = {
 }
 
 
-def land_reviews(reviews: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write reviews as Parquet under ``city=.../attraction=...``.
+def land_reviews(
+    reviews: DataFrame, path: str, mode: str = "errorifexists", by_attraction: bool = False
+) -> None:
+    """Write reviews as Parquet under ``city=...``, in the order of attraction and id.
 
-    A scan for one city reads only its folders. Each file lies in the order of
-    ``review_id``, so a bound on the id skips row groups. See ``write_lines``
-    for the way large attractions are split.
+    A scan for one city reads only its folders; bounds on attraction or id skip
+    files and row groups. ``by_attraction`` adds a folder level per
+    attraction, for corpora of few attractions: millions of folders would cost more
+    than they save. See ``write_lines`` for the way large groups are split.
     """
     columns = [field.name for field in REVIEWS]
+    folders = ["city", "attraction"] if by_attraction else ["city"]
     (
         reviews.select(columns)
         .hint("rebalance", "city", "attraction")
         .sortWithinPartitions("city", "attraction", "review_id")
         .write.mode(mode)
-        .partitionBy("city", "attraction")
+        .partitionBy(*folders)
         .parquet(path)
     )
 
@@ -44,15 +48,24 @@ def landed_reviews(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(
-    records: DataFrame, path: str, headers: Sequence[str], mode: str = "errorifexists"
+    records: DataFrame,
+    path: str,
+    headers: Sequence[str],
+    mode: str = "errorifexists",
+    one_per_line: bool = True,
 ) -> None:
-    """Write the chosen columns as CSV without a header row."""
-    filled = [empty_if_missing(F.col(name).cast("string")).alias(name) for name in headers]
+    """Write the chosen columns as CSV without a header row, one record a line.
+
+    Line breaks inside fields become blanks, so that readers can split the
+    files; ``one_per_line=False`` keeps them, for ``read_csv(multi_line=True)``.
+    """
+    text = one_line if one_per_line else empty_if_missing
+    filled = [text(F.col(name).cast("string")).alias(name) for name in headers]
     records.select(filled).write.mode(mode).options(**_CSV, emptyValue="").csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, headers: Sequence[str], multi_line: bool = True) -> DataFrame:
-    """Read it back; without line breaks in fields, ``multi_line=False`` splits files."""
+def read_csv(spark: SparkSession, path: str, headers: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """Read it back; ``multi_line`` for fields with line breaks, at a task per file."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in headers])
     raw = spark.read.schema(schema).options(**_CSV, multiLine=multi_line).csv(path)
     return raw.na.fill("")
