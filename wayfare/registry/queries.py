@@ -128,7 +128,54 @@ _VIEWS["training"] = f"""
 _VIEWS["training_labels"] = """
     select rating, row_number() over (order by count(*) desc, rating) - 1 as label
     from training where split = 'train' group by rating"""
+
+# --- the hash that terms are counted by, in SQL: MurmurHash3 (x86, 32 bits, seed 42), public domain;
+# --- its multipliers and rotations are fixed values
+_WORD_LIMIT = 2**32
+
+
+def _turn(x: str, bits: int) -> str:
+    return f"(({x}) * {2**bits} % {_WORD_LIMIT} + ({x}) // {2 ** (32 - bits)})"
+
+
+def _stirred(k: str) -> str:
+    return f"({_turn(f'({k}) * 3432918353 % {_WORD_LIMIT}', 15)} * 461845907 % {_WORD_LIMIT})"
+
+
+def _bytes(at: str) -> str:
+    """Four letters as a number, the first one lowest; nothing beyond the word's end."""
+    return " + ".join(f"coalesce(ascii(nullif(word[{at} + {i + 1}], '')), 0) * {256**i}::hugeint" for i in range(4))
+
+
+_VIEWS["model_words"] = f"""
+    select review_id, rating, unnest(list_filter(case when clean = '' then ['']
+                                             when trim(clean, ' ') = '' then []
+                                             else string_split(rtrim(clean, ' '), ' ') end,
+                                        lambda x: not list_contains({_STOP_LIST}, x))) as word
+    from cleaned"""
+_VIEWS["buckets"] = f"""
+    select word, cast(xor(h3, h3 // 65536) % 4096 as int) as bucket
+    from (select word, xor(h2, h2 // 8192) * 3266489909 % {_WORD_LIMIT} as h3
+          from (select word, xor(h1, h1 // 65536) * 2246822507 % {_WORD_LIMIT} as h2
+                from (select word, xor(case when n % 4 = 0 then h else xor(h, {_stirred("tail")}) end, n::hugeint) as h1
+                      from (select word, n, tail,
+                                   list_reduce(list_prepend(42::hugeint, list_transform(blocks, lambda k: {_stirred("k")})),
+                                               lambda h, k: ({_turn("xor(h, k)", 13)} * 5 + 3864292196) % {_WORD_LIMIT}) as h
+                            from (select word, length(word) as n, {_bytes("length(word) // 4 * 4")} as tail,
+                                         list_transform(range(0, length(word) // 4), lambda i: {_bytes("i * 4")}) as blocks
+                                  from (select distinct word from model_words))))))"""
+_VIEWS["bucket_counts"] = """
+    select review_id, rating, bucket, cast(count(*) as double) as tf
+    from model_words join buckets using (word) group by all"""
+_VIEWS["bucket_weights"] = """
+    select bucket, count(f.review_id) as doc_freq,
+           case when count(f.review_id) >= 5 then ln(((select count(*) from reviews) + 1) / (count(f.review_id) + 1)) else 0 end as idf
+    from (select unnest(range(0, 4096)) as bucket) b left join bucket_counts f using (bucket) group by bucket"""
 _NEEDS = {
+    "model_words": ["cleaned"],
+    "buckets": ["model_words"],
+    "bucket_counts": ["model_words", "buckets"],
+    "bucket_weights": ["reviews", "bucket_counts"],
     "training": ["reviews"],
     "training_labels": ["training"],
     "dirty": ["reviews"],
@@ -1070,12 +1117,33 @@ def t3_hashing_tf(spark, sf_dir):
     return counted.select("review_id", total.alias("tf_total"))
 
 
-@query("t4_idf")
+def _entries(vector: str):
+    """The filled places of a vector column, one row each: ``(bucket, value)``."""
+    from pyspark.ml.functions import vector_to_array
+
+    numbered = F.transform(
+        vector_to_array(vector), lambda x, i: F.struct(i.alias("bucket"), x.alias("value"))
+    )
+    return F.inline(F.filter(numbered, lambda e: e["value"] != 0))
+
+
+@query("t3_buckets", "select review_id, bucket, tf as value from bucket_counts", "bucket_counts")
+def t3_buckets(spark, sf_dir):
+    counted = M.counting_stages().transform(V.texts(spark, sf_dir).select("review_id", "review"))
+    return counted.select("review_id", _entries("tf_review"))
+
+
+@query(
+    "t4_idf",
+    # frequencies too low to weigh are reported as 0
+    "select bucket, case when doc_freq >= 5 then doc_freq else 0 end as doc_freq, round(idf, 9) as idf from bucket_weights",
+    "bucket_weights",
+)
 def t4_idf(spark, sf_dir):
     counted = M.counting_stages().transform(V.texts(spark, sf_dir).select("review_id", "review"))
     fitted = M.idf_stage().fit(counted)
     rows = [
-        (bucket, int(df), float(weight))
+        (bucket, int(df), round(float(weight), 9))
         for bucket, (df, weight) in enumerate(zip(fitted.docFreq, fitted.idf.toArray()))
     ]
     return spark.createDataFrame(rows, "bucket int, doc_freq bigint, idf double")
@@ -1138,6 +1206,21 @@ def t6_feature_fit(spark, sf_dir):
     )
 
 
+@query(
+    "t6_features",
+    """select review_id, bucket, round(tf * idf, 6) as value
+       from bucket_counts join bucket_weights using (bucket) where idf <> 0""",
+    "bucket_counts bucket_weights",
+)
+def t6_features(spark, sf_dir):
+    from pyspark.ml import Pipeline
+
+    reviews = V.texts(spark, sf_dir).select("review_id", "review")
+    stages = Pipeline(stages=[*M.counting_stages().stages, M.idf_stage()])
+    featured = stages.fit(reviews).transform(reviews)
+    return featured.select("review_id", _entries("features")).withColumn("value", F.round("value", 6))
+
+
 @query(
     "t7_group_idf",
     f"""select city, attraction, term, df, round({_IDF}, 6) as idf
