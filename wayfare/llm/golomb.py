@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import lower_ascii, tasks
+from wayfare.llm.common import lower_ascii, sliced, tasks
 
 def rice_bits(values: np.ndarray) -> int:
     """The remainder bits that suit the mean gap of sorted ``values``."""
@@ -80,7 +80,7 @@ def _scan(owners: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, row, seen, kind = TaskContext.get().partitionId(), 0, [], None
-        for batch in batches:
+        for batch in sliced(batches):
             texts, kind = batch.column("text").to_pylist(), batch.schema.field("doc_id")
             shas = [hashlib.sha256(b"" if t is None else t.encode().lower()).digest() for t in texts]
             n = len(texts)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
+from wayfare.llm.common import sliced
 from wayfare.llm.tokens import encoder, vocabulary
 
 CAPACITY = 1024
@@ -104,7 +105,7 @@ def _pack(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encode = TaskContext.get().partitionId(), encoder(path).ids
         bins, schema = _Bins(0, part, capacity), None
-        for batch in batches:
+        for batch in sliced(batches):
             schema = schema or pa.schema([batch.schema.field("doc_id"), *_ARROW])
             out: list[list] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import WORD_BYTES, join_small, word_count
+from wayfare.llm.common import WORD_BYTES, join_small, sliced, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -186,7 +186,7 @@ def slice_words(text: str, first: int, count: int) -> str:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         work = {n: batch.column(n).to_pylist() for n in ("text", "_size", "_times", "_head", "_head_at", "_tail")}
         texts = []
         for text, size, times, head, head_at, tail in zip(*work.values(), strict=True):

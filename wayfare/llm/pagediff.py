@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import tasks
+from wayfare.llm.common import sliced, tasks
 
 #: what a line's place in the markup says of it
 PLAIN, MAIN, CHROME = 0, 1, 2
@@ -252,7 +252,7 @@ def common_lines(a: list, b: list) -> list[tuple[int, int]]:
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, key, url, html -> host, path, id, key, the lines' hashes, lengths and roles."""
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True):
             lines, roles = lines_of(page)
@@ -334,7 +334,7 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts, shared, marked = [], [], []
         for lines, roles, found in zip(*(batch.column(n).to_pylist() for n in ("lines", "roles", "shared")), strict=True):
             template = set(found or ())
@@ -350,7 +350,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         found = [lines_of(p) for p in batch.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), batch.column("key"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import WORD_BYTES, components, tasks
+from wayfare.llm.common import WORD_BYTES, components, sliced, tasks
 
 SHINGLE, BITS, SEED = 4, 4, 42
 #: the bands of a fingerprint: 21, 21 and 22 bits
@@ -60,7 +60,7 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 def _fingerprints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [fingerprint(t, size) for t in batch.column("text").to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), fps], ["doc_id", "key", "fp"])
