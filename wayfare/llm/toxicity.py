@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import id_remainder
+from wayfare.llm.common import id_remainder, sliced
 
 FOLDS = 5
 #: lexicon voters; labelled rows that the lexicon is induced from and rows the classifier is fit on
@@ -44,7 +44,13 @@ INSULTS = frozenset(
 _YOU = frozenset("you your du dich dein tu toi vous ton tú te usted".split())
 _WORDS = re.compile(r"[^\W\d_]+")
 _FLOOD = re.compile(r"\b(\w+)(?:\W+\1\b){4}")
-PATTERNS = ("insult", "insult addressed", "shouting", "exclaiming", "flooding", "short")
+#: pattern voters with the rates at which they are first taken to fire, in toxic and in clean documents
+PATTERNS = {
+    "insult": (0.3, 0.01), "insult addressed": (0.1, 0.002), "shouting": (0.05, 0.04),
+    "exclaiming": (0.05, 0.04), "flooding": (0.04, 0.04), "short": (0.03, 0.03),
+}
+#: share of toxic documents where no label says
+PRIOR = 0.05
 
 
 def terms_of(text: str) -> tuple[set[str], set[str]]:
@@ -82,7 +88,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean.clear()
         return batch
 
-    for batch in batches:
+    for batch in sliced(batches):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             words, stems = terms_of(text or "")
             own = toxic if label else clean
@@ -101,6 +107,7 @@ class Voters(NamedTuple):
     lexicon: dict[str, int]
     rates: np.ndarray
     prior: float
+    labelled: int
 
 
 class Model(NamedTuple):
@@ -131,7 +138,7 @@ def induce(docs: DataFrame, labels: DataFrame) -> Voters:
     total = counted.where("term = ''").first()
     toxic, clean = (total["toxic"], total["clean"]) if total else (0, 0)
     t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    base = (toxic + 0.5) / (toxic + clean + 1.0)
+    base = (toxic + 0.5) / (toxic + clean + 1.0) if toxic + clean else PRIOR
     n, share = t + c, t / (t + c)
     # lower end of the share's confidence interval (Wilson, 2 standard errors)
     lower = (share + 2 / n - 2 * F.sqrt(share * (1 - share) / n + 1 / (n * n))) / (1 + 4 / n)
@@ -141,11 +148,10 @@ def induce(docs: DataFrame, labels: DataFrame) -> Voters:
         .orderBy(gain.desc(), "term").limit(LEXICON).collect()
     )
     lexicon = {r["term"]: len(PATTERNS) + i for i, r in enumerate(chosen)}
-    rates = np.full((len(PATTERNS) + len(chosen), 2), 0.05)
-    rates[:, 1] = 0.04
+    rates = np.concatenate([np.array(list(PATTERNS.values())), np.zeros((len(chosen), 2))])
     for i, r in enumerate(chosen):
         rates[len(PATTERNS) + i] = (r["toxic"] + 0.5) / (toxic + 1), (r["clean"] + 0.5) / (clean + 1)
-    return Voters(lexicon, rates, base)
+    return Voters(lexicon, rates, base, toxic + clean)
 
 
 def votes_of(text: str | None, lexicon: dict[str, int]) -> list[int]:
@@ -158,7 +164,7 @@ def votes_of(text: str | None, lexicon: dict[str, int]) -> list[int]:
 
 def _voted(lexicon: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             votes = [votes_of(t, lexicon) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.array(votes, pa.list_(pa.int32()))], ["doc_id", "label", "votes"]
@@ -186,12 +192,15 @@ def _posterior(x: np.ndarray, label: np.ndarray, weights: np.ndarray, bias: floa
     return np.where(label < 0, p, label)
 
 
-def _expected(weights: np.ndarray, bias: float, pairs: bool):
-    """Vote patterns -> (i, j, toxic, clean): expected counts of i and j firing together; i = -1 counts documents."""
+def _expected(weights: np.ndarray, bias: float):
+    """Vote patterns -> (i, toxic, clean): how often voter i and each other one fire together, expected.
+
+    One row a voter and task, the other voters in its arrays; i = -1 counts documents.
+    """
     width = len(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, docs = np.zeros((2, width, width if pairs else 1)), np.zeros(2)
+        sums, docs = np.zeros((2, width, width)), np.zeros((2, 1, width))
         for batch in batches:
             label = np.array([-1 if v is None else v for v in batch.column("label").to_pylist()], float)
             x = _matrix(batch.column("votes").to_pylist(), width)
@@ -199,30 +208,34 @@ def _expected(weights: np.ndarray, bias: float, pairs: bool):
             p = _posterior(x, label, weights, bias)
             for k, w in enumerate((p * n, (1 - p) * n)):
                 docs[k] += w.sum()
-                sums[k] += x.T @ (x * w[:, None]) if pairs else (x.T @ w)[:, None]
-        i, j = np.nonzero(sums.sum(axis=0))
+                sums[k] += x.T @ (x * w[:, None])
+        fired = np.flatnonzero(sums.sum(axis=(0, 2)))
+        rows = np.concatenate([docs, sums[:, fired]], axis=1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1, *i.tolist()], pa.int32()), pa.array([-1, *j.tolist()], pa.int32()),
-             pa.array([docs[0], *sums[0][i, j]], pa.float64()), pa.array([docs[1], *sums[1][i, j]], pa.float64())],
-            ["i", "j", "toxic", "clean"],
+            [pa.array([-1, *fired.tolist()], pa.int32()), *(pa.array([r.tobytes() for r in side], pa.binary()) for side in rows)],
+            ["i", "toxic", "clean"],
         )
 
     return run
 
 
-def _summed(patterns: DataFrame, weights: np.ndarray, bias: float, pairs: bool):
-    """The expected counts over all patterns: documents (2,), and voters or pairs (2, V, 1 or V)."""
-    rows = (
-        patterns.mapInArrow(_expected(weights, bias, pairs), "i int, j int, toxic double, clean double")
-        .groupBy("i", "j").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect()
-    )
-    width = len(weights)
-    docs, sums = np.zeros(2), np.zeros((2, width, width if pairs else 1))
+def _added(table: pa.Table) -> pa.Table:
+    """One voter's rows from all tasks, summed."""
+    sums = [np.sum([np.frombuffer(d) for d in table[n].to_pylist()], axis=0).tobytes() for n in ("toxic", "clean")]
+    return pa.table({"i": table["i"][:1], "toxic": pa.array(sums[:1], pa.binary()), "clean": pa.array(sums[1:], pa.binary())})
+
+
+def _summed(patterns: DataFrame, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
+    """The expected counts over all patterns: documents (2,), and pairs of voters (2, V, V)."""
+    schema, width = "i int, toxic binary, clean binary", len(weights)
+    rows = patterns.mapInArrow(_expected(weights, bias), schema).groupBy("i").applyInArrow(_added, schema).collect()
+    docs, sums = np.zeros(2), np.zeros((2, width, width))
     for r in rows:
+        both = [np.frombuffer(r["toxic"]), np.frombuffer(r["clean"])]
         if r["i"] < 0:
-            docs[:] = r["toxic"], r["clean"]
+            docs[:] = both[0][0], both[1][0]
         else:
-            sums[:, r["i"], r["j"]] = r["toxic"], r["clean"]
+            sums[:, r["i"]] = both
     return docs, sums
 
 
@@ -234,10 +247,11 @@ def label_model(votes: DataFrame, voters: Voters) -> tuple[np.ndarray, float]:
     """
     patterns = written(votes.groupBy("votes", "label").agg(F.count("*").alias("n")), "patterns")
     rates, prior, overlap = voters.rates, voters.prior, np.ones(len(voters.rates))
-    for _ in range(ROUNDS):
+    # without a label, EM would find some two classes, not these two
+    for _ in range(ROUNDS if voters.labelled else 0):
         weights, silence = _evidence(rates, overlap)
         bias = float(np.log(prior / (1 - prior))) + silence
-        docs, sums = _summed(patterns, weights, bias, pairs=True)
+        docs, sums = _summed(patterns, weights, bias)
         fired = np.stack([np.diag(s) for s in sums])
         rates = ((fired + 0.5) / (docs[:, None] + 1)).T
         prior = float((docs[0] + 0.5) / (docs.sum() + 1))
@@ -297,7 +311,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     never read. Null and empty texts are scored by their pattern alone; null
     ids are scored and never learned from; repeated rows get equal scores; a
     document with two labels counts as toxic if one says so; without any usable
-    label the insults and patterns decide alone; an empty table gives no rows;
+    label the pattern voters decide at their first rates; an empty table gives no rows;
     other columns are not read. The classifier and the lexicon are fit on bounded
     samples of labelled rows (``FITTED``, ``LABELLED``).
     """
@@ -320,7 +334,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, reject: float = 0.5) ->
     model, _ = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             votes = [votes_of(t, model.voters.lexicon) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(_score(votes, model.weights, model.bias) < reject))
 
