@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfare.llm import scoring, toxicity
 from wayfare.llm.common import table
 from wayfare.llm.golomb import exact_groups
 from wayfare.llm.harmonic import pack
@@ -13,8 +14,8 @@ from wayfare.llm.hashtree import shard_documents
 from wayfare.llm.linededup import dedup_lines
 from wayfare.llm.mixing import mix
 from wayfare.llm.nndescent import near_vectors
+from wayfare.llm.oracles import ORACLES
 from wayfare.llm.pagediff import main_texts
-from wayfare.llm import scoring, toxicity
 from wayfare.llm.vptree import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +54,8 @@ def op8_golomb_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_nearest_url_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_texts(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return main_texts(pages).select("page_id", "url", "text", "n_chars")
 
 
 def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,13 +66,4 @@ def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFram
 _ALL = [op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op7_attention_scores, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
-ORACLES: dict[str, str] = {
-    "op8_golomb_exact_dedup": """
-        with t as (
-            select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                     'abcdefghijklmnopqrstuvwxyz') as body
-            from documents)
-        select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
-               doc_id = max(doc_id) over g as kept, sha256(body) as text_sha256
-        from t window g as (partition by body)""",
-}
+__all__ = ["ORACLES", "QUERIES"]
