@@ -7,11 +7,13 @@ out: equal variants at equal places are a substitution, a variant equal to a
 whole line is an insertion. A line goes if an equal line or, from
 ``EDITED`` words on, a line within the bound stands earlier in the corpus.
 
-Variants cost as many rows as a line has words. One edit leaves one half of
+Variants cost as many hashes as a line has words. One edit leaves one half of
 a line untouched, so only lines that share a half with another distinct line
 emit them: no pair is lost, and ordinary lines cost four keys. The texts of
 the candidates are fetched by a second scan that looks each line up in a
 bitmap of bounded size; what the bitmap lets through wrongly is joined away.
+In the same way the variants' bare hashes are counted before rows are made of
+those that occur twice.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import WORD_BYTES
+from wayfare.llm.common import WORD_BYTES, sliced
 
 #: lines of fewer words are left alone; lines of fewer than EDITED words go only for equal lines
 LEAST, EDITED = 4, 8
@@ -71,7 +73,7 @@ def one_edit(a: list[bytes], b: list[bytes]) -> bool:
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, key, text -> a row per line of at least LEAST words."""
-    for batch in batches:
+    for batch in sliced(batches):
         at, line, n, h, keys = [], [], [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             for k, one in enumerate((text or "").split("\n")):
@@ -92,7 +94,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fetch(bitmap, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags, seen = bitmap.value, set()
-        for batch in batches:
+        for batch in sliced(batches):
             found = {}
             for text in batch.column("text").to_pylist():
                 for one in (text or "").split("\n"):
@@ -132,34 +134,51 @@ def _bitmap(hashes: DataFrame, bits: int) -> bytes:
     return np.packbits(flat[: 1 << bits], bitorder="little").tobytes()
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """h, words -> (v, i): the hash without word i, and the line's own hash with i = -1."""
-    for batch in batches:
-        rows, v, i = [], [], []
-        for r, text in enumerate(batch.column("words").to_pylist()):
-            words = text.encode().split(b" ")
-            v.append(_hash(words))
-            i.append(-1)
-            for k in range(len(words)):
-                v.append(_hash(words[:k] + words[k + 1 :]))
-                i.append(k)
-            rows += [r] * (len(words) + 1)
-        at = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, pa.int64()), pa.array(i, pa.int32()), batch.column("h").take(at), batch.column("pos").take(at)],
-            ["v", "i", "h", "pos"],
-        )
+def _cuts(words: list[bytes]) -> list[int]:
+    """The hash of a line and of each variant with one word left out."""
+    return [_hash(words), *(_hash(words[:k] + words[k + 1 :]) for k in range(len(words)))]
+
+
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """words -> the hashes of the line and its variants alone, each once a line."""
+    for batch in sliced(batches):
+        found = [np.unique(_cuts(t.encode().split(b" "))) for t in batch.column("words").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], ["h"])
+
+
+def _variants(bitmap, bits: int):
+    """h, words -> (v, i) of the variants that two lines may share: the hash without word i; i = -1 is the line itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.frombuffer(bitmap.value, np.uint8)
+        for batch in sliced(batches):
+            rows, v, i = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for r, text in enumerate(batch.column("words").to_pylist()):
+                own = np.array(_cuts(text.encode().split(b" ")))
+                place = own & ((1 << bits) - 1)
+                kept = np.flatnonzero(flags[place >> 3] >> (place & 7) & 1)
+                rows.append(np.full(len(kept), r))
+                v.append(own[kept])
+                i.append(kept - 1)
+            at = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(v)), pa.array(np.concatenate(i).astype(np.int32)),
+                 batch.column("h").take(at), batch.column("pos").take(at)],
+                ["v", "i", "h", "pos"],
+            )
+
+    return run
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         a, b = (batch.column(n).to_pylist() for n in ("words", "other"))
         ok = [one_edit(x.encode().split(b" "), y.encode().split(b" ")) for x, y in zip(a, b, strict=True)]
         yield batch.select(["h"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts, lines, gone = [], [], []
         for text, removed in zip(batch.column("_text").to_pylist(), batch.column("_removed").to_pylist(), strict=True):
             parts = text.split("\n") if text is not None else []
@@ -187,7 +206,13 @@ def _near(reps: DataFrame, plain: DataFrame) -> DataFrame:
     texts = texts.join(candidates, "h", "left_semi").groupBy("h").agg(F.min("words").alias("words"))
     texts = written(texts.join(reps.select("h", "pos"), "h"), "candidate-lines")
     kind = reps.schema["pos"].dataType.simpleString()
-    variants = written(texts.mapInArrow(_variants, f"v long, i int, h long, pos {kind}"), "variants")
+    # most variants belong to one line only: bare hashes are counted first, and rows that
+    # say whose variant it is are made of those that lines share
+    names = texts.select("words").mapInArrow(_names, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    common = spark.sparkContext.broadcast(_bitmap(written(names.where("n > 1").select("h"), "shared"), BITMAP))
+    variants = written(
+        texts.mapInArrow(_variants(common, BITMAP), f"v long, i int, h long, pos {kind}"), "variants"
+    )
     cut, whole = variants.where("i >= 0"), variants.where("i < 0")
     # a substitution: of the lines that agree without their word i, the first is the witness
     first = cut.groupBy("v", "i").agg(F.min(F.struct("pos", "h")).alias("w"), F.count("*").alias("n")).where("n > 1")
