@@ -323,30 +323,38 @@ def test_toxicity_without_labels_and_without_documents(spark, documents):
 # --- language model ------------------------------------------------------------------
 
 
-def test_gradients_match_differences():
-    rng = np.random.default_rng(0)
-    weights = attention.initial(20, np.full(6, 1 / 6))
+def small_model(seed):
+    rng = np.random.default_rng(seed)
+    weights = attention.initial(20, 6)
     weights["out"] = rng.standard_normal(weights["out"].shape).astype(np.float32) * 0.5
-    x, y = rng.integers(0, 20, (2, attention.WINDOW)), rng.integers(0, 6, (2, attention.WINDOW))
-    found, _ = attention.gradients(weights, x, y, np.ones(y.shape, bool))
+    return rng, weights, rng.standard_normal((6, 6)).astype(np.float32)
+
+
+def test_gradients_match_differences():
+    rng, weights, follow = small_model(0)
+    x = rng.integers(0, 20, (2, attention.WINDOW))
+    before, y = rng.integers(0, 6, x.shape), rng.integers(0, 6, x.shape)
+    found, _ = attention.gradients(weights, follow, x, before, y, np.ones(y.shape, bool))
+    assert set(found) == set(weights)
     for name, values in weights.items():
         at = (int(x[0, 2]), 1) if name == "embed" else tuple(0 for _ in values.shape)
         sides = []
         for step in (1e-2, -1e-2):
             moved = {n: v.copy() for n, v in weights.items()}
             moved[name][at] += step
-            sides.append(-attention.log_probabilities(moved, x, y).astype(float).mean())
+            sides.append(-attention.log_probabilities(moved, follow, x, before, y).astype(float).mean())
         assert found[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-2, abs=2e-3)
 
 
-def test_attention_is_causal():
-    weights = attention.initial(20, np.full(6, 1 / 6))
-    weights["out"] += np.random.default_rng(1).standard_normal(weights["out"].shape).astype(np.float32)
+def test_attention_is_causal_and_bounded():
+    _, weights, follow = small_model(1)
     x, y = np.ones((1, attention.WINDOW), int), np.zeros((1, attention.WINDOW), int)
     other = x.copy()
     other[0, 20:] = 7
-    a, b = attention.log_probabilities(weights, x, y), attention.log_probabilities(weights, other, y)
+    a, b = (attention.log_probabilities(weights, follow, w, y, y) for w in (x, other))
     assert np.allclose(a[0, :20], b[0, :20], atol=1e-5) and not np.allclose(a[0, 20:], b[0, 20:], atol=1e-5)
+    weights["attend"] *= 1e4
+    assert np.isfinite(attention.log_probabilities(weights, follow, x, y, y)).all()
 
 
 def test_scores_equal_brute_force_counts_and_are_probabilities(spark, documents):
@@ -371,25 +379,29 @@ def test_scores_equal_brute_force_counts_and_are_probabilities(spark, documents)
 
 def test_model_is_a_distribution_and_scores_each_token_once(spark, documents):
     rows = [(i, "alpha beta gamma delta " * 5) for i in range(60)]
-    model, _ = scoring.fit(documents(rows), tokens.vocabulary())
+    model, _, _ = scoring.fit(documents(rows), tokens.vocabulary(scoring.VOCABULARY))
     # summed over all ids, the probability of the next one is one
-    x = np.full((1, attention.WINDOW), scoring.END)
-    by_class = [float(np.exp(attention.log_probabilities(model.weights, model.inputs[x], np.array([[c]]))[0, 0])) for c in range(scoring.CLASSES)]
-    within = np.exp(model.within[model.classes[scoring.END]].astype(float))
+    x, last = np.full((1, attention.WINDOW), scoring.END), model.classes[[[scoring.END]]]
+    by_class = [
+        float(np.exp(attention.log_probabilities(model.weights, model.follow, model.inputs[x], last, np.array([[c]]))[0, 0]))
+        for c in range(scoring.CLASSES)
+    ]
+    within = np.exp(model.within[last[0, 0]].astype(float))
     total = sum(by_class[c] * within[model.classes == c].sum() for c in range(scoring.CLASSES))
     assert total == pytest.approx(1, abs=2e-3)
     # a text scored whole equals its tokens scored one at a time, each with the context its window gives
-    ids = np.append(tokens.encoder(tokens.vocabulary()).ids(" alpha beta gamma" * 30), scoring.END)
+    ids = np.append(tokens.encoder(tokens.vocabulary(scoring.VOCABULARY)).ids(" alpha beta gamma" * 330), scoring.END)
     whole = model.log_probability([ids])[0]
     single, scored = 0.0, attention.WINDOW - attention.CONTEXT
     led = np.concatenate([np.full(attention.CONTEXT + 1, scoring.END), ids])
     for t, target in enumerate(ids):
         first = t // scored * scored
         seen = led[first : t + attention.CONTEXT + 1][None, :]
-        p = attention.log_probabilities(model.weights, model.inputs[seen], model.classes[[[target]]])[0, 0]
-        single += p + model.within[model.classes[seen[0, -1]], target]
+        last = model.classes[seen[:, -1:]]
+        p = attention.log_probabilities(model.weights, model.follow, model.inputs[seen], last, model.classes[[[target]]])[0, 0]
+        single += p + model.within[last[0, 0], target]
     assert whole == pytest.approx(single, rel=1e-4)
-    assert model.log_probability([ids, ids[-1:]])[0] == pytest.approx(whole, rel=1e-5)
+    assert model.log_probability([ids, ids[-1:], ids[:40]])[0] == pytest.approx(whole, rel=1e-5)
 
 
 @pytest.mark.parametrize("operator", [harmonic.pack, mixing.mix, scoring.score_documents, hashtree.shard_documents])

@@ -13,43 +13,46 @@ import numpy as np
 WIDTH, HIDDEN, WINDOW, CONTEXT = 16, 32, 32, 4
 
 
-def initial(inputs: int, classes: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
-    """Small random weights; the output starts at the classes' log-frequencies."""
+def initial(inputs: int, classes: int, seed: int = 5) -> dict[str, np.ndarray]:
+    """Small random weights; the output starts at nothing, so that ``follow`` alone speaks."""
     rng = np.random.default_rng(seed)
     draw = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
     return {
         "embed": (rng.standard_normal((inputs, WIDTH)) * 0.3).astype(np.float32),
         "place": (rng.standard_normal((WINDOW, WIDTH)) * 0.1).astype(np.float32),
-        "query": draw(WIDTH, WIDTH), "key": draw(WIDTH, WIDTH), "value": draw(WIDTH, WIDTH),
+        "attend": draw(WIDTH, 3 * WIDTH),
         "mix": draw(2 * WIDTH, HIDDEN), "lift": np.zeros(HIDDEN, np.float32),
-        "out": np.zeros((HIDDEN, len(classes)), np.float32), "bias": np.log(classes).astype(np.float32),
+        "out": np.zeros((HIDDEN, classes), np.float32),
     }
 
 
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+_LATER = np.triu(np.full((WINDOW, WINDOW), -1e30, np.float32), 1)
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
 
 
-def _layers(w: dict, x_ids: np.ndarray):
+def _layers(w: dict, x_ids: np.ndarray, bound: bool = True):
     """``x_ids`` (B, T): the input at each place, which already precedes the token to predict.
 
-    Attention is ``exp`` of scores kept within bounds, masked, and divided by
-    its sum after the values are mixed: fewer passes over the (B, T, T) table.
+    Attention is ``exp`` of scores, masked, and divided by its sum after the
+    values are mixed: fewer passes over the (B, T, T) table. ``bound`` takes the greatest
+    score off first, which keeps any weights in range.
     """
     b, t = x_ids.shape
-    x = w["embed"][x_ids]
+    x = np.take(w["embed"], x_ids, axis=0)
     xp = x + w["place"][:t]
-    flat = xp.reshape(-1, WIDTH)
-    q = (flat @ (w["query"] * _SCALE)).reshape(b, t, WIDTH)
-    k = (flat @ w["key"]).reshape(b, t, WIDTH)
+    qkv = (xp.reshape(-1, WIDTH) @ w["attend"]).reshape(b, t, 3 * WIDTH)
+    q, k = qkv[:, :, :WIDTH] * _SCALE, qkv[:, :, WIDTH : 2 * WIDTH]
     v = np.ones((b, t, WIDTH + 1), np.float32)
-    v[:, :, :WIDTH] = (flat @ w["value"]).reshape(b, t, WIDTH)
+    v[:, :, :WIDTH] = qkv[:, :, 2 * WIDTH :]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    np.minimum(a, 60, out=a)
+    if bound:
+        a += _LATER[:t, :t]
+        a -= a.max(axis=2, keepdims=True)
     np.exp(a, out=a)
     a *= _MASK[:t, :t]
     c = np.matmul(a, v)
-    total = c[:, :, WIDTH:] + np.float32(1e-30)
+    total = c[:, :, WIDTH:]
     both = np.empty((b, t, 2 * WIDTH), np.float32)
     both[:, :, :WIDTH] = x
     np.divide(c[:, :, :WIDTH], total, out=both[:, :, WIDTH:])
@@ -60,25 +63,37 @@ def _layers(w: dict, x_ids: np.ndarray):
     return xp, q, k, v[:, :, :WIDTH], a, total, both, h
 
 
-def log_probabilities(w: dict, x_ids: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log-probability of the classes ``y`` (B, n) at the last n places of each window."""
+def _class_scores(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, bound: bool):
     b, t = x_ids.shape
-    h = _layers(w, x_ids)[-1].reshape(b, t, HIDDEN)[:, t - y.shape[1] :].reshape(-1, HIDDEN)
+    n = y.shape[1]
+    h = _layers(w, x_ids, bound)[-1].reshape(b, t, HIDDEN)[:, t - n :].reshape(-1, HIDDEN)
     z = h @ w["out"]
-    z += w["bias"]
-    np.minimum(z, 80, out=z)
+    z += np.take(follow, before.ravel(), axis=0)
+    if bound:
+        z -= z.max(axis=1, keepdims=True)
     flat = y.ravel()
     own = z[np.arange(len(flat)), flat]
     np.exp(z, out=z)
-    return (own - np.log(z @ np.ones(z.shape[1], np.float32) + np.float32(1e-30))).reshape(y.shape)
+    return (own - np.log(z @ np.ones(z.shape[1], np.float32))).reshape(y.shape)
 
 
-def gradients(w: dict, x_ids: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
-    """Mean loss over the ``real`` places and its gradients."""
+def log_probabilities(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural log-probability of the classes ``y`` (B, n) at the last n places of each window.
+
+    ``before`` (B, n) is the class of the token before each, and ``follow`` the log of how
+    often classes follow each other, to which the layers add what the context tells.
+    """
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        out = _class_scores(w, follow, x_ids, before, y, bound=False)
+    return out if np.isfinite(out).all() else _class_scores(w, follow, x_ids, before, y, bound=True)
+
+
+def gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
+    """Mean loss over the ``real`` places and its gradients; ``follow`` stays as it was counted."""
     b, t = x_ids.shape
     xp, q, k, v, a, total, both, h = _layers(w, x_ids)
     a = a / total
-    z = h @ w["out"] + w["bias"]
+    z = h @ w["out"] + follow[before.ravel()]
     z -= z.max(axis=1, keepdims=True)
     p = np.exp(z)
     p /= p.sum(axis=1, keepdims=True)
@@ -88,22 +103,18 @@ def gradients(w: dict, x_ids: np.ndarray, y: np.ndarray, real: np.ndarray) -> tu
     loss = float(-(np.log(p[rows, flat] + 1e-20) * on).sum() / n)
     p[rows, flat] -= 1
     p *= (on / n)[:, None]
-    g = {"out": h.T @ p, "bias": p.sum(axis=0)}
+    g = {"out": h.T @ p}
     dh = (p @ w["out"].T) * (h > 0)
     g["mix"], g["lift"] = both.T @ dh, dh.sum(axis=0)
     dboth = (dh @ w["mix"].T).reshape(b, t, 2 * WIDTH)
     dx, dc = dboth[:, :, :WIDTH].copy(), dboth[:, :, WIDTH:]
     da = np.matmul(dc, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dc)
     ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = np.matmul(ds, k) * _SCALE, np.matmul(ds.transpose(0, 2, 1), q)
-    flat_xp = xp.reshape(-1, WIDTH)
-    dxp = np.zeros((b * t, WIDTH), np.float32)
-    for name, d in (("query", dq), ("key", dk), ("value", dv)):
-        d = d.reshape(-1, WIDTH)
-        g[name] = flat_xp.T @ d
-        dxp += d @ w[name].T
-    dxp = dxp.reshape(b, t, WIDTH)
+    dqkv = np.concatenate(
+        [np.matmul(ds, k) * _SCALE, np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dc)], axis=2
+    ).reshape(-1, 3 * WIDTH)
+    g["attend"] = xp.reshape(-1, WIDTH).T @ dqkv
+    dxp = (dqkv @ w["attend"].T).reshape(b, t, WIDTH)
     g["place"] = np.zeros_like(w["place"])
     g["place"][:t] = dxp.sum(axis=0)
     dx += dxp
@@ -112,7 +123,10 @@ def gradients(w: dict, x_ids: np.ndarray, y: np.ndarray, real: np.ndarray) -> tu
     return g, loss
 
 
-def train(w: dict, x_ids: np.ndarray, y: np.ndarray, real: np.ndarray, rate: float, seed: int, batch: int = 32) -> dict:
+def train(
+    w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray,
+    rate: float, seed: int, batch: int = 32,
+) -> dict:
     """One pass of Adam over the windows in seeded order."""
     w = {n: v.copy() for n, v in w.items()}
     m = {n: np.zeros_like(v) for n, v in w.items()}
@@ -120,7 +134,7 @@ def train(w: dict, x_ids: np.ndarray, y: np.ndarray, real: np.ndarray, rate: flo
     order, step = np.random.default_rng(seed).permutation(len(x_ids)), 0
     for at in range(0, len(order), batch):
         own = order[at : at + batch]
-        g, _ = gradients(w, x_ids[own], y[own], real[own])
+        g, _ = gradients(w, follow, x_ids[own], before[own], y[own], real[own])
         step += 1
         scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         for n in w:

@@ -9,12 +9,14 @@ its last tokens, so that every token is scored once and has context.
 One scan of the training documents counts words and pairs of neighbouring ids, and
 takes every ``EVERY``-th window for training, so all that is gathered grows with the
 corpus. Training runs on Spark: each task trains on its windows from the common
-weights, the weights are averaged, and so on for ``ROUNDS`` rounds. A second scan scores.
+weights, the weights are averaged, and so on for ``ROUNDS`` rounds. The scan also
+writes every text as ids, which a second step scores.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,20 +28,22 @@ from pyspark.sql import functions as F
 
 from wayfare.cluster import written
 from wayfare.llm import attention as A
-from wayfare.llm.common import WORD_BYTES
+from wayfare.llm.common import WORD_BYTES, sliced
 from wayfare.llm.tokens import encoder, vocabulary
 
 FOLDS, HELD_OUT = 7, 2
+#: a vocabulary made for many languages: fewer ids a text
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: ids of the vocabulary, and the free one that ends a text and stands before its first word
 IDS, END = 50257, 50256
 CLASSES, INPUTS = 96, 2048
 #: contexts that ids are clustered by, and pseudo-counts of the classes' own frequencies
 CONTEXTS, PSEUDO = 96, 4.0
-#: words between windows for training, one window of EVERY taken, windows a training task has at most
-STEP, EVERY, PER_TASK, ROUNDS, RATE = 12, 32, 8192, 3, 0.01
-#: words whose counts every task knows (1.5 MB); the others' counts are joined
+#: ids between windows for training, one window of EVERY taken, windows a training task has at most
+STEP, EVERY, PER_TASK, ROUNDS, RATE = 32, 48, 8192, 3, 0.01
+#: words whose counts every task knows (some 2 MB); the others' counts are joined
 HEAD = 1 << 17
-#: words a task remembers before it passes on what it has counted
+#: distinct words a task counts before it passes on what it has
 KNOWN = 250_000
 
 
@@ -57,107 +61,69 @@ def word_hash(word: bytes) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-_ROWS = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
-_ROWS_SQL = "kind int, a long, b long, n long, data binary"
-#: kinds of rows: word counts, pairs of ids, windows, documents
-_WORD, _PAIR, _WINDOW, _DOCS = range(4)
+_ROWS = [
+    pa.field("kind", pa.int32()), pa.field("held_out", pa.bool_()), pa.field("a", pa.int64()), pa.field("b", pa.int64()),
+    pa.field("n", pa.int64()), pa.field("word", pa.binary()), pa.field("ids", pa.binary()),
+]
+_ROWS_SQL = "kind int, held_out boolean, a long, b long, n long, word binary, ids binary"
+#: kinds of rows: texts as ids, counts of words, counts of pairs of ids, windows
+_TEXT, _WORD, _PAIR, _WINDOW = range(4)
 
 
-def _rows(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    size = len(a)
+def _batch(kind: int, size: int, schema: pa.Schema, **columns) -> pa.RecordBatch:
+    known = {"kind": np.full(size, kind, np.int32)} | columns
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(size, kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()),
-         pa.nulls(size, pa.binary())], schema=_ROWS,
+        [pa.array(known[f.name], f.type) if f.name in known else pa.nulls(size, f.type) for f in schema], schema=schema
     )
 
 
-class _Counter:
-    """Words and neighbouring ids of a task's training documents."""
-
-    def __init__(self, encode):
-        self.encode = encode
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.docs: list[np.ndarray] = []
-
-    def add(self, words: list[bytes]) -> None:
-        index = self.index
-        self.docs.append(np.array([index.setdefault(w, len(index)) for w in words], np.int64))
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        words = list(self.index)
-        if words:
-            ids = [self.encode(" " + w.decode()) for w in words]
-            lengths = np.array([len(x) for x in ids])
-            flat = np.concatenate(ids).astype(np.int64)
-            first, last = np.cumsum(lengths) - lengths, np.cumsum(lengths) - 1
-            every = np.concatenate(self.docs)
-            counts = np.bincount(every, minlength=len(words))
-            yield _rows(_WORD, np.array([word_hash(w) for w in words]), np.zeros(len(words), np.int64), counts)
-            # neighbours inside words, weighted by the words' counts, and from word to word
-            inside = np.ones(len(flat), bool)
-            inside[last] = False
-            at = np.flatnonzero(inside)
-            codes = [flat[at] * IDS + flat[at + 1]]
-            weights = [np.repeat(counts, lengths)[at]]
-            for doc in self.docs:
-                if len(doc):
-                    before = np.concatenate([[END], flat[last[doc]]])
-                    after = np.concatenate([flat[first[doc]], [END]])
-                    codes.append(before * IDS + after)
-                else:
-                    codes.append(np.array([END * IDS + END]))
-                weights.append(np.ones(len(codes[-1]), np.int64))
-            pairs, where = np.unique(np.concatenate(codes), return_inverse=True)
-            yield _rows(_PAIR, pairs // IDS, pairs % IDS, np.bincount(where, weights=np.concatenate(weights)).astype(np.int64))
-        elif self.docs:
-            yield _rows(_PAIR, np.array([END]), np.array([END]), np.array([len(self.docs)]))
-        if self.docs:
-            yield _rows(_DOCS, np.array([0]), np.array([0]), np.array([len(self.docs)]))
-        self.clear()
-
-
 def _gather(path: str):
-    """Training documents -> counts and windows."""
+    """Documents -> their ids (two bytes each), and the counts and windows of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).ids
-        counter = _Counter(encode)
-        for batch in batches:
-            windows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if held_out(doc):
+        encode, schema = encoder(path).whole, None
+        words, pairs = Counter(), []
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            if words:
+                names = list(words)
+                yield _batch(_WORD, len(names), schema, word=names, a=[word_hash(w) for w in names], n=list(words.values()))
+                words.clear()
+            if pairs:
+                codes, n = np.unique(np.concatenate(pairs), return_counts=True)
+                yield _batch(_PAIR, len(codes), schema, a=codes // IDS, b=codes % IDS, n=n)
+                pairs.clear()
+
+        for batch in sliced(batches):
+            schema = schema or pa.schema([batch.schema.field("doc_id"), *_ROWS])
+            docs, texts, held, windows = batch.column("doc_id").to_pylist(), [], [], []
+            for doc, text in zip(docs, batch.column("text").to_pylist(), strict=True):
+                own = words_of(text)
+                ids = encode(b"".join([b" " + w for w in own]).decode()) if own else np.zeros(0, np.uint32)
+                ids = np.append(ids, END).astype(np.int64)
+                texts.append(ids.astype("<u2").tobytes())
+                held.append(held_out(doc))
+                if held[-1]:
                     continue
-                words = words_of(text)
-                counter.add(words)
+                words.update(own)
+                before = np.concatenate([[END], ids[:-1]])
+                pairs.append(before * IDS + ids)
                 seed = zlib.crc32(str(doc).encode())
-                for at in range(0, len(words) + 1, STEP):
+                for at in range(0, len(ids), STEP):
                     if zlib.crc32(at.to_bytes(8, "little"), seed) % EVERY == 0:
-                        windows.append(_window(words, at, encode))
-                if len(counter.index) > KNOWN:
-                    yield from counter.batches()
+                        windows.append(before[at : at + A.WINDOW + 1].astype("<u2").tobytes())
+                        if at + A.WINDOW >= len(ids):
+                            windows[-1] += END.to_bytes(2, "little")
+                if len(words) > KNOWN or len(pairs) > 4000:
+                    yield from counted()
+            yield _batch(_TEXT, len(docs), schema, doc_id=docs, held_out=held, ids=texts)
             if windows:
-                n = len(windows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, _WINDOW, np.int32)), *(pa.nulls(n, pa.int64()) for _ in range(3)), pa.array(windows, pa.binary())],
-                    schema=_ROWS,
-                )
-        yield from counter.batches()
+                yield _batch(_WINDOW, len(windows), schema, ids=windows)
+        yield from counted()
 
     return run
 
 
-def _window(words: list[bytes], at: int, encode) -> bytes:
-    """WINDOW + 1 ids around word ``at``, from the id before; shorter where the text ends."""
-    before = [END] if at == 0 else encode(" " + words[at - 1].decode())[-1:]
-    own = words[at : at + A.WINDOW]
-    ids = encode(b"".join(b" " + w for w in own).decode()) if own else []
-    tail = [END] if at + len(own) == len(words) else []
-    return np.concatenate([before, ids, tail])[: A.WINDOW + 1].astype("<u2").tobytes()
-
-
 def classes_of(counts: np.ndarray, before: np.ndarray, after: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     """The class of each id: frequent ids have their own, others share one with ids of similar neighbours.
 
@@ -184,42 +150,61 @@ def classes_of(counts: np.ndarray, before: np.ndarray, after: np.ndarray, classe
 
 
 class Model:
-    """What scoring needs: the classes, the attention weights, the counts within classes and of words."""
+    """What scoring needs: classes, weights, the counts between and within classes, the frequent words."""
+
+    def __init__(self, classes, inputs, weights, follow, within, head, ends, total, distinct):
+        self.classes, self.inputs, self.weights, self.follow, self.within = classes, inputs, weights, follow, within
+        self.head, self.ends, self.total, self.distinct = head, ends, total, distinct
 
-    def __init__(self, classes, inputs, weights, within, head, total, distinct):
-        self.classes, self.inputs, self.weights, self.within = classes, inputs, weights, within
-        self.head, self.total, self.distinct = head, total, distinct
+    def _windows(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        before = self.classes[x[:, A.CONTEXT :]]
+        by_class = A.log_probabilities(self.weights, self.follow, self.inputs[x], before, self.classes[y])
+        return by_class + self.within[before, y]
 
     def log_probability(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Natural log-probability of each text's ids, of which the last is END."""
-        scored = A.WINDOW - A.CONTEXT
-        xs, ys, sizes = [], [], []
-        for ids in texts:
+        """Natural log-probability of each text's ids, of which the last is END.
+
+        A window's last WINDOW - CONTEXT tokens are scored; the windows of short texts
+        are computed together, long texts in pieces, so memory stays small.
+        """
+        scored, sums = A.WINDOW - A.CONTEXT, np.zeros(len(texts))
+        held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def flush() -> None:
+            out = self._windows(np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held]))
+            out[~np.concatenate([h[3] for h in held])] = 0
+            rows, first = out.sum(axis=1, dtype=np.float64), 0
+            for i, x, _, _ in held:
+                sums[i] += rows[first : first + len(x)].sum()
+                first += len(x)
+            held.clear()
+
+        offsets = np.arange(A.WINDOW)
+        for i, ids in enumerate(texts):
             count = -(-len(ids) // scored)
-            padded = np.full(count * scored, END)
+            padded = np.full(count * scored, END, np.int32)
             padded[: len(ids)] = ids
-            led = np.concatenate([np.full(A.CONTEXT + 1, END), padded])
-            xs.append(led[(np.arange(count) * scored)[:, None] + np.arange(A.WINDOW)])
-            ys.append(padded.reshape(count, scored))
-            sizes.append((count, len(ids)))
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        out = np.empty(y.shape)
-        for at in range(0, len(x), 32):
-            own, target = x[at : at + 32], y[at : at + 32]
-            by_class = A.log_probabilities(self.weights, self.inputs[own], self.classes[target])
-            out[at : at + 32] = by_class + self.within[self.classes[own[:, A.CONTEXT :]], target]
-        sums, first = np.empty(len(texts)), 0
-        for i, (count, length) in enumerate(sizes):
-            sums[i] = out[first : first + count].ravel()[:length].sum()
-            first += count
+            led = np.concatenate([np.full(A.CONTEXT + 1, END, np.int32), padded])
+            real = (np.arange(count * scored) < len(ids)).reshape(count, scored)
+            y = padded.reshape(count, scored)
+            for at in range(0, count, 32):
+                x = led[(np.arange(at, min(at + 32, count)) * scored)[:, None] + offsets]
+                held.append((i, x, y[at : at + 32], real[at : at + 32]))
+                waiting += len(x)
+                if waiting >= 28:
+                    flush()
+                    waiting = 0
+        if held:
+            flush()
         return sums
 
 
-def _train_task(weights: dict, inputs: np.ndarray, classes: np.ndarray, turn: int):
+def _train_task(weights: dict, follow: np.ndarray, inputs: np.ndarray, classes: np.ndarray, turn: int):
     """One task's windows -> its weights after one pass, with the number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [np.frombuffer(d, "<u2") for b in batches for d in b.column("data").to_pylist()]
+        rows = [np.frombuffer(d, "<u2") for b in batches for d in b.column("ids").to_pylist()]
         rows = [r for r in rows if len(r) > 1]
         if not rows:
             return
@@ -228,7 +213,8 @@ def _train_task(weights: dict, inputs: np.ndarray, classes: np.ndarray, turn: in
         for i, r in enumerate(rows):
             ids[i, : len(r)] = r
             real[i, : len(r) - 1] = True
-        new = A.train(weights, inputs[ids[:, :-1]], classes[ids[:, 1:]], real, RATE * (1 - turn / ROUNDS), turn)
+        x, y = ids[:, :-1], classes[ids[:, 1:]]
+        new = A.train(weights, follow, inputs[x], classes[x], y, real, RATE * (1 - turn / ROUNDS), turn)
         flat = np.concatenate([new[n].ravel() for n in sorted(new)]).astype(np.float64) * len(rows)
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
@@ -244,17 +230,15 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"part": [table["part"][0].as_py() // 32], "n": [sum(table["n"].to_pylist())], "data": pa.array([total.tobytes()], pa.binary())})
 
 
-def _trained(windows: DataFrame, weights: dict, inputs: np.ndarray, classes: np.ndarray) -> dict:
+def _trained(windows: DataFrame, weights: dict, follow: np.ndarray, inputs: np.ndarray, classes: np.ndarray) -> dict:
     """Rounds of local training and averaging; sums of 32 tasks meet in one group, then 32 of those."""
     count = windows.count()
     if not count:
         return weights
     tasks = -(-count // PER_TASK)
-    dealt = written(windows.repartition(tasks, F.xxhash64("data")), "windows")
+    dealt = written(windows, "windows").repartition(tasks, F.xxhash64("ids"))
     for turn in range(ROUNDS):
-        sums = dealt.repartition(tasks, F.xxhash64("data")).mapInArrow(
-            _train_task(weights, inputs, classes, turn), "part long, n long, data binary"
-        )
+        sums = dealt.mapInArrow(_train_task(weights, follow, inputs, classes, turn), "part long, n long, data binary")
         left = tasks
         while left > 32:
             sums = sums.groupBy(F.floor(F.col("part") / 32)).applyInArrow(_add, "part long, n long, data binary")
@@ -269,22 +253,21 @@ def _trained(windows: DataFrame, weights: dict, inputs: np.ndarray, classes: np.
     return weights
 
 
-def fit(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
-    """The model of the training documents, and the counts ``a, n`` of all their words."""
+def fit(docs: DataFrame, path: str) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of the training documents, the counts ``a, n`` of their words, and all texts as ids."""
     spark = docs.sparkSession
-    gathered = written(docs.select("doc_id", "text").mapInArrow(_gather(path), _ROWS_SQL), "gathered")
-    words = written(
-        gathered.where(F.col("kind") == _WORD).groupBy("a").agg(F.sum("n").alias("n")), "words"
-    )
-    pairs = written(
-        gathered.where(F.col("kind") == _PAIR).groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    gathered = written(docs.select("doc_id", "text").mapInArrow(_gather(path), f"doc_id {kind}, {_ROWS_SQL}"), "gathered")
+    words = gathered.where(F.col("kind") == _WORD).groupBy("a")
+    words = written(words.agg(F.sum("n").alias("n"), F.min("word").alias("word")), "words")
+    pairs = gathered.where(F.col("kind") == _PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = written(pairs, "pairs")
     size = words.agg(F.count("*").alias("distinct"), F.sum("n").alias("total")).first()
-    trained_on = gathered.where(F.col("kind") == _DOCS).agg(F.sum("n")).first()[0] or 0
     # one row an id of the vocabulary at most
     counts = np.zeros(IDS, np.int64)
     for r in pairs.groupBy("b").agg(F.sum("n").alias("n")).collect():
         counts[r["b"]] = r["n"]
+    ends = int(counts[END])
     frequent = np.argsort(-counts, kind="stable")[:CONTEXTS]
     place = np.full(IDS, -1)
     place[frequent] = np.arange(CONTEXTS)
@@ -300,76 +283,65 @@ def fit(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
     own = (counts + 1) / shares[classes]
     # ids given the class before: at most classes x ids numbers
     named = F.broadcast(spark.createDataFrame(list(zip(range(IDS), classes.tolist(), strict=True)), "a long, before int"))
-    follow = np.zeros((CLASSES, IDS), np.float32)
+    after = np.zeros((CLASSES, IDS), np.float32)
     for r in pairs.join(named, "a").groupBy("before", "b").agg(F.sum("n").alias("n")).toLocalIterator():
-        follow[r["before"], r["b"]] = r["n"]
+        after[r["before"], r["b"]] = r["n"]
     totals = np.zeros((CLASSES, CLASSES))
-    np.add.at(totals.T, classes, follow.T)
-    within = np.log((follow + PSEUDO * own) / (totals[:, classes] + PSEUDO)).astype(np.float32)
+    np.add.at(totals.T, classes, after.T)
+    within = np.log((after + PSEUDO * own) / (totals[:, classes] + PSEUDO)).astype(np.float32)
+    smooth = totals + PSEUDO * shares / shares.sum()
+    follow = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
     # frequent ids have an input of their own, others their class's
     inputs = classes.copy()
-    ranked = np.argsort(-counts, kind="stable")[:INPUTS]
-    inputs[ranked] = CLASSES + np.arange(INPUTS)
-    start = A.initial(CLASSES + INPUTS, shares / shares.sum())
-    weights = _trained(gathered.where(F.col("kind") == _WINDOW).select("data"), start, inputs, classes)
-    head = {r["a"]: r["n"] for r in words.orderBy(F.col("n").desc(), "a").limit(HEAD).collect()}
-    total = (size["total"] or 0) + trained_on
-    return Model(classes, inputs, weights, within, (head, trained_on), total, size["distinct"] + (trained_on > 0)), words
+    inputs[np.argsort(-counts, kind="stable")[:INPUTS]] = CLASSES + np.arange(INPUTS)
+    start = A.initial(CLASSES + INPUTS, CLASSES)
+    weights = _trained(gathered.where(F.col("kind") == _WINDOW).select("ids"), start, follow, inputs, classes)
+    top = words.orderBy(F.col("n").desc(), "a").limit(HEAD).select("word", "n").collect()
+    head = {bytes(r["word"]): float(np.log10(r["n"] + 1)) for r in top}
+    total, distinct = (size["total"] or 0) + ends, size["distinct"] + (ends > 0)
+    model = Model(classes, inputs, weights, follow, within, head, ends, total, distinct)
+    return model, words, gathered.where(F.col("kind") == _TEXT).select("doc_id", "held_out", "ids")
 
 
 _SCORED = [
     ("rid", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
-    ("score", pa.float64()), ("word", pa.int64()), ("n", pa.int64()),
+    ("score", pa.float64()), ("word", pa.int64()),
 ]
-_SCORED_SQL = "rid long, held_out boolean, n_tokens long, known long, base double, score double, word long, n long"
+_SCORED_SQL = "rid long, held_out boolean, n_tokens long, known long, base double, score double, word long"
 
 
 def _score(path: str, shared):
-    """Documents -> a scored row each, and rows (rid, word, n) for words whose count the task doesn't know."""
+    """Texts as ids -> a scored row each, and rows (rid, word) for words whose count the task doesn't know."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, encode = shared.value, encoder(path).ids
-        head, ends = model.head
-        memory: dict[bytes, tuple] = {}
+        model, pieces = shared.value, encoder(path).pieces()
+        pieces += [b""] * (IDS - len(pieces))
+        head, ends = model.head, float(np.log10(model.ends + 1.0))
         rid = TaskContext.get().partitionId() << 40
-        end = np.array([END], "<u4").tobytes()
-
-        def learn(word: bytes) -> tuple:
-            name = word_hash(word)
-            count = head.get(name)
-            found = (encode(" " + word.decode()).astype("<u4").tobytes(), np.log10(count + 1.0) if count else 0.0, None if count else name)
-            if len(memory) > KNOWN:
-                memory.clear()
-            memory[word] = found
-            return found
-
-        for batch in batches:
+        for batch in sliced(batches):
             schema = pa.schema([batch.schema.field("doc_id"), *_SCORED])
-            rows, ids, tail = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = words_of(text)
-                known = [memory.get(w) or learn(w) for w in words]
-                ids.append(np.frombuffer(b"".join([k[0] for k in known]) + end, "<u4"))
-                unknown: dict[int, int] = {}
-                for k in known:
-                    if k[2] is not None:
-                        unknown[k[2]] = unknown.get(k[2], 0) + 1
-                rest = sum(unknown.values())
-                base = sum([k[1] for k in known]) + np.log10(ends + 1.0)
-                rows.append([doc, rid, held_out(doc), len(words) + 1, len(words) - rest + (ends > 0), base])
-                tail += [(rid, w, n) for w, n in unknown.items()]
-                rid += 1
-            if rows:
-                score = (model.log_probability(ids) / np.log(10)).tolist()
-                columns = [*zip(*rows, strict=True), score]
-                blank = [pa.nulls(len(rows), pa.int64())] * 2
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)), *blank], schema=schema)
-            if tail:
-                r, w, n = zip(*tail, strict=True)
-                size = len(tail)
-                named = {"rid": r, "word": w, "n": n}
+            texts = [np.frombuffer(d, "<u2") for d in batch.column("ids").to_pylist()]
+            score = model.log_probability(texts) / np.log(10)
+            n, known, base, rids, names = [], [], [], [], []
+            for i, ids in enumerate(texts):
+                words = WORD_BYTES.findall(b"".join([pieces[t] for t in ids.tolist()]))
+                logs = [head.get(w) for w in words]
+                rest = [word_hash(w) for w, v in zip(words, logs, strict=True) if v is None]
+                n.append(len(words) + 1)
+                known.append(len(words) - len(rest) + (model.ends > 0))
+                base.append(sum([v for v in logs if v is not None]) + ends)
+                names.append(np.array(rest, np.int64))
+                rids.append(np.full(len(rest), rid + i))
+            size = len(texts)
+            columns = {"rid": np.arange(rid, rid + size), "n_tokens": n, "known": known, "base": base, "score": score}
+            full = [batch.column(f.name) if f.name in ("doc_id", "held_out") else pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema]
+            yield pa.RecordBatch.from_arrays(full, schema=schema)
+            rid += size
+            if size:
+                tail = {"rid": np.concatenate(rids), "word": np.concatenate(names)}
+                rows = len(tail["rid"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(named[f.name], f.type) if f.name in named else pa.nulls(size, f.type) for f in schema], schema=schema
+                    [pa.array(tail[f.name], f.type) if f.name in tail else pa.nulls(rows, f.type) for f in schema], schema=schema
                 )
 
     return run
@@ -385,15 +357,15 @@ def score_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     the scores are those of a model that has seen nothing; an empty table gives no rows;
     other columns are not read. Every window of a text of any length is scored.
     """
-    path = path or vocabulary()
+    path = path or vocabulary(VOCABULARY)
     plain = docs.select("doc_id", "text")
-    model, words = fit(plain, path)
+    model, words, texts = fit(plain, path)
     kind = plain.schema["doc_id"].dataType.simpleString()
     shared = plain.sparkSession.sparkContext.broadcast(model)
-    out = written(plain.mapInArrow(_score(path, shared), f"doc_id {kind}, {_SCORED_SQL}"), "scored")
-    tail = out.where("word is not null").select("rid", F.col("word").alias("a"), F.col("n").alias("times"))
+    out = written(texts.mapInArrow(_score(path, shared), f"doc_id {kind}, {_SCORED_SQL}"), "scored")
+    tail = out.where("word is not null").groupBy("rid", F.col("word").alias("a")).agg(F.count("*").alias("times"))
     counted = (
-        tail.join(words, "a").groupBy("rid")
+        tail.join(words.select("a", "n"), "a").groupBy("rid")
         .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("seen"))
     )
     scored = out.where("word is null").join(counted, "rid", "left")

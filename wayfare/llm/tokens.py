@@ -59,6 +59,14 @@ class Encoder:
                 self._known[chunk] = found
         return found
 
+    def whole(self, text: str) -> np.ndarray:
+        """The ids of a text without remembering its words: faster where words rarely repeat."""
+        return self._bpe.encode_to_numpy(text)
+
+    def pieces(self) -> list[bytes]:
+        """The bytes of each id."""
+        return [self._bpe.decode_single_token_bytes(i) if i < self._bpe.n_vocab else b"" for i in range(self._bpe.n_vocab)]
+
     def ids(self, text: str) -> np.ndarray:
         if _ODD.search(text):
             return np.frombuffer(self._bytes(text), "<u4")
