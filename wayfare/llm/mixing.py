@@ -27,7 +27,7 @@ TIMES = 2
 BLOCK = 32
 SEED = 11
 #: words and rows of a shard, the unit that one task sorts
-SHARD_WORDS, SHARD_ROWS = 1 << 22, 1 << 18
+SHARD_WORDS, SHARD_ROWS = 1 << 20, 1 << 16
 
 
 def sainte_lague(weights: np.ndarray, seats: int) -> np.ndarray:

@@ -17,7 +17,7 @@ import numpy as np
 _CHUNK = re.compile(r"[ \n]?[^ \n]+|[ \n]")
 _ODD = re.compile(r"[^\S \n]|[ \n]{2}")
 #: words whose ids a worker remembers, and the longest such word
-CACHED, LONGEST = 200_000, 48
+CACHED, LONGEST = 100_000, 48
 
 
 def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
