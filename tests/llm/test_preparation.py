@@ -274,6 +274,24 @@ def test_neighbours_delete_their_template(spark):
         assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_undeclared_furniture_beside_and_inside_an_article(spark):
+    def page(body):
+        return f"<div>Home About</div><article>{body}<p>Share this page</p></article><div>All rights</div>"
+
+    rows = [(i, f"http://h.org/{i}", page(f"<p>text {i} of its own</p>")) for i in range(6)]
+    # a sentence of two articles is content, and so are copies of an article
+    quoted = ["", "", "<p>a quote</p>", "<p>a quote</p>", "", ""]
+    rows += [(10 + i, f"http://q.org/{i}", page(f"<p>text {i} of its own</p>{q}")) for i, q in enumerate(quoted)]
+    rows += [(20 + i, f"http://c.org/{i}", page("<p>one long text that both of these pages hold and nobody else</p>")) for i in range(2)]
+    # a long template next to short articles is no sign of copies
+    rows += [(30 + i, f"http://l.org/{i}", "<div>" + "Menu " * 200 + f"</div><article>short {i}</article>") for i in range(3)]
+    got = {r.page_id: r for r in pagediff.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].text == f"text {i} of its own" and (got[i].n_shared, got[i].n_marked) == (3, 0) for i in range(6))
+    assert [got[10 + i].text for i in range(6)] == [f"text {i} of its own" + ("\n\na quote" if q else "") for i, q in enumerate(quoted)]
+    assert all("nobody else" in got[20 + i].text and got[20 + i].n_shared == 0 for i in range(2))
+    assert all(got[30 + i].text == f"short {i}" for i in range(3))
+
+
 # --- toxicity ------------------------------------------------------------------
 
 

@@ -3,10 +3,10 @@
 Pages of a host stand in the order of their URL paths; each is aligned with its
 neighbours there. Text lines (blocks) in the longest common subsequence of
 two neighbours belong to the host's template and are deleted. Two rules keep
-that from going wrong where a neighbour proves nothing: lines inside
-``article`` or ``main`` are content even if a copy of the article stands
-next door, and two pages that share nearly all lines are copies, of which
-nothing is deleted. An exact check follows for what no neighbour shows (a host's
+that from going wrong where a neighbour proves nothing: two pages that share
+nearly all of their content are copies, of which nothing is deleted, and a line
+inside ``article`` or ``main`` goes only if each neighbour that is no copy shows it
+there too, as a sentence may stand in two articles. An exact check follows for what no neighbour shows (a host's
 only page, an advert of one page): lines that the markup itself declares to be
 menu, header, footer, sidebar, notice, advert, form or comments.
 
@@ -32,7 +32,7 @@ from wayfare.llm.common import sliced, tasks
 
 #: what a line's place in the markup says of it
 PLAIN, MAIN, CHROME = 0, 1, 2
-#: two pages that share this much of their plain text are copies of each other
+#: two pages that share this much of their content (article or main, else plain text) are copies of each other
 COPIES = 0.8
 
 # fixed values of HTML
@@ -270,22 +270,29 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LINES = "codes array<long>, sizes array<int>, roles array<int>"
 
 
+#: stands among a page's lines for a neighbour that is no copy
+_TELLING = -1
+
+
 def _shared(a: dict, b: dict) -> tuple[list[int], list[int]]:
-    """The lines outside the content that two neighbours show to be template, as places in each.
+    """The lines that two neighbours share, as places in each, with ``_TELLING`` in front.
 
     If the neighbours are copies of each other, only what the markup declares
-    furniture counts.
+    furniture counts. They are judged by what is content in them: with an
+    ``article`` or ``main``, the plain text around it is what templates hold.
     """
     pairs = common_lines(a["codes"], b["codes"])
     found, copies = [], []
-    for page, own in ((a, [i for i, _ in pairs]), (b, [j for _, j in pairs])):
+    for page, other, own in ((a, b, pairs), (b, a, [(j, i) for i, j in pairs])):
         roles, sizes = page["roles"], page["sizes"]
-        text = sum(n for n, r in zip(sizes, roles, strict=True) if r == PLAIN)
-        copies.append(sum(sizes[i] for i in own if roles[i] == PLAIN) >= COPIES * text)
-        found.append([i for i in own if roles[i] != MAIN])
+        judged = MAIN if MAIN in roles else PLAIN
+        text = sum(n for n, r in zip(sizes, roles, strict=True) if r == judged)
+        copies.append(sum(sizes[i] for i, _ in own if roles[i] == judged) >= COPIES * text)
+        found.append([i for i, j in own if roles[i] != MAIN or other["roles"][j] == MAIN])
     if all(copies):
         found = [[i for i in own if page["roles"][i] == CHROME] for page, own in zip((a, b), found, strict=True)]
-    return found[0], found[1]
+        return found[0], found[1]
+    return [_TELLING, *found[0]], [_TELLING, *found[1]]
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,8 +344,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         texts, shared, marked = [], [], []
         for lines, roles, found in zip(*(batch.column(n).to_pylist() for n in ("lines", "roles", "shared")), strict=True):
-            template = set(found or ())
-            kept = [t for i, (t, r) in enumerate(zip(lines, roles, strict=True)) if r == MAIN or (r == PLAIN and i not in template)]
+            times = {f["line"]: f["times"] for f in found or ()}
+            telling = times.pop(_TELLING, 0)
+            template = {i for i, n in times.items() if roles[i] != MAIN or n == telling}
+            kept = [t for i, (t, r) in enumerate(zip(lines, roles, strict=True)) if r != CHROME and i not in template]
             texts.append("\n\n".join(kept))
             shared.append(len(template))
             marked.append(sum(r == CHROME and i not in template for i, r in enumerate(roles)))
@@ -402,8 +411,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
     shared = (
         found.where("shared is not null").select("page_id", "key", "shared").unionByName(at_borders)
         .where(F.size("shared") > 0)
-        .select("page_id", "key", F.explode("shared").alias("line")).distinct()
-        .groupBy(F.col("page_id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_list("line").alias("shared"))
+        .select("page_id", "key", F.explode("shared").alias("line"))
+        .groupBy("page_id", "key", "line").agg(F.count("*").alias("times"))
+        .groupBy(F.col("page_id").alias("_id"), F.col("key").alias("_key"))
+        .agg(F.collect_list(F.struct("line", "times")).alias("shared"))
     )
     parsed = plain.mapInArrow(
         _parsed, f"page_id {kind}, url string, key long, lines array<string>, roles array<int>"
