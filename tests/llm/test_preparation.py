@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -395,6 +396,23 @@ def test_scores_equal_brute_force_counts_and_are_probabilities(spark, documents)
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def test_windows_of_training_tile_every_training_document(spark, documents):
+    texts = [np.append(np.arange(n) % 40_000, scoring.END).astype("<u2") for n in (0, 5, 31, 32, 33, 64 * 32 - 1, 5000)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array([t.tobytes() for t in texts], pa.binary())], ["doc_id", "ids"]
+    )
+    runs = pa.Table.from_batches(scoring._runs(iter([batch]))).to_pylist()
+    for i, text in enumerate(texts):
+        x, y, real = scoring._tiles([r["ids"] for r in sorted(runs, key=lambda r: r["at"]) if r["doc_id"] == i])
+        assert x.shape[1] == attention.WINDOW and (y[real] == text).all()
+        assert (x[real] == np.append(scoring.END, text[:-1])).all()
+    # a corpus of one short text reaches the weights, whatever its id
+    for doc in (2, 3):
+        assert not scoring.held_out(doc)
+        model, _, _ = scoring.fit(documents([(doc, "alpha beta gamma")]), tokens.vocabulary(scoring.VOCABULARY))
+        assert np.abs(model.weights["out"]).max() > 0
+
+
 def test_model_is_a_distribution_and_scores_each_token_once(spark, documents):
     rows = [(i, "alpha beta gamma delta " * 5) for i in range(60)]
     model, _, _ = scoring.fit(documents(rows), tokens.vocabulary(scoring.VOCABULARY))

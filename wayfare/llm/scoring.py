@@ -6,11 +6,10 @@ id within its class follows from counts over the whole training corpus, given th
 class before. A text is cut into overlapping windows of which each scores
 its last tokens, so that every token is scored once and has context.
 
-One scan of the training documents counts words and pairs of neighbouring ids, and
-takes every ``EVERY``-th window for training, so all that is gathered grows with the
-corpus. Training runs on Spark: each task trains on its windows from the common
-weights, the weights are averaged, and so on for ``ROUNDS`` rounds. The scan also
-writes every text as ids, which a second step scores.
+One scan writes every text as ids and counts words and pairs of neighbouring ids in the
+training documents. Training runs on Spark: windows tile every training document, each
+window is trained on once, in one of ``ROUNDS`` rounds; in a round each task trains on its
+windows from the common weights, and the weights are averaged. A last step scores the texts.
 """
 
 from __future__ import annotations
@@ -39,8 +38,8 @@ IDS, END = 50257, 50256
 CLASSES, INPUTS = 96, 2048
 #: contexts that ids are clustered by, and pseudo-counts of the classes' own frequencies
 CONTEXTS, PSEUDO = 96, 4.0
-#: ids between windows for training, one window of EVERY taken, windows a training task has at most
-STEP, EVERY, PER_TASK, ROUNDS, RATE = 32, 48, 8192, 3, 0.01
+#: windows that travel together, windows a training task has about, rounds that share the training documents
+RUN, PER_TASK, ROUNDS, RATE = 64, 16384, 3, 0.01
 #: words whose counts every task knows (some 2 MB); the others' counts are joined
 HEAD = 1 << 17
 #: distinct words a task counts before it passes on what it has
@@ -66,8 +65,8 @@ _ROWS = [
     pa.field("n", pa.int64()), pa.field("word", pa.binary()), pa.field("ids", pa.binary()),
 ]
 _ROWS_SQL = "kind int, held_out boolean, a long, b long, n long, word binary, ids binary"
-#: kinds of rows: texts as ids, counts of words, counts of pairs of ids, windows
-_TEXT, _WORD, _PAIR, _WINDOW = range(4)
+#: kinds of rows: texts as ids, counts of words, counts of pairs of ids
+_TEXT, _WORD, _PAIR = range(3)
 
 
 def _batch(kind: int, size: int, schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -78,7 +77,7 @@ def _batch(kind: int, size: int, schema: pa.Schema, **columns) -> pa.RecordBatch
 
 
 def _gather(path: str):
-    """Documents -> their ids (two bytes each), and the counts and windows of the training documents."""
+    """Documents -> their ids (two bytes each), and the counts of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, schema = encoder(path).whole, None
@@ -96,7 +95,7 @@ def _gather(path: str):
 
         for batch in sliced(batches):
             schema = schema or pa.schema([batch.schema.field("doc_id"), *_ROWS])
-            docs, texts, held, windows = batch.column("doc_id").to_pylist(), [], [], []
+            docs, texts, held = batch.column("doc_id").to_pylist(), [], []
             for doc, text in zip(docs, batch.column("text").to_pylist(), strict=True):
                 own = words_of(text)
                 ids = encode(b"".join([b" " + w for w in own]).decode()) if own else np.zeros(0, np.uint32)
@@ -108,17 +107,9 @@ def _gather(path: str):
                 words.update(own)
                 before = np.concatenate([[END], ids[:-1]])
                 pairs.append(before * IDS + ids)
-                seed = zlib.crc32(str(doc).encode())
-                for at in range(0, len(ids), STEP):
-                    if zlib.crc32(at.to_bytes(8, "little"), seed) % EVERY == 0:
-                        windows.append(before[at : at + A.WINDOW + 1].astype("<u2").tobytes())
-                        if at + A.WINDOW >= len(ids):
-                            windows[-1] += END.to_bytes(2, "little")
                 if len(words) > KNOWN or len(pairs) > 4000:
                     yield from counted()
             yield _batch(_TEXT, len(docs), schema, doc_id=docs, held_out=held, ids=texts)
-            if windows:
-                yield _batch(_WINDOW, len(windows), schema, ids=windows)
         yield from counted()
 
     return run
@@ -200,25 +191,51 @@ class Model:
         return sums
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as ids -> runs of up to RUN windows, which tile each text; the id before it leads each run."""
+    for batch in sliced(batches):
+        rows, places, runs = [], [], []
+        for i, ids in enumerate(batch.column("ids").to_pylist()):
+            led = END.to_bytes(2, "little") + ids
+            for at in range(0, len(ids), 2 * RUN * A.WINDOW):
+                rows.append(i)
+                places.append(at)
+                runs.append(led[at : at + 2 * (RUN * A.WINDOW + 1)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(runs, pa.binary())],
+            ["doc_id", "at", "ids"],
+        )
+
+
+def _tiles(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of runs: ids, the ids that follow them, and which of those are real."""
+    x, y, real = [], [], []
+    for run in runs:
+        ids = np.frombuffer(run, "<u2")
+        size = -(-(len(ids) - 1) // A.WINDOW) * A.WINDOW
+        padded = np.full(size + 1, END)
+        padded[: len(ids)] = ids
+        x.append(padded[:-1].reshape(-1, A.WINDOW))
+        y.append(padded[1:].reshape(-1, A.WINDOW))
+        real.append((np.arange(size) < len(ids) - 1).reshape(-1, A.WINDOW))
+    return np.concatenate(x), np.concatenate(y), np.concatenate(real)
+
+
 def _train_task(weights: dict, follow: np.ndarray, inputs: np.ndarray, classes: np.ndarray, turn: int):
     """One task's windows -> its weights after one pass, with the number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [np.frombuffer(d, "<u2") for b in batches for d in b.column("ids").to_pylist()]
-        rows = [r for r in rows if len(r) > 1]
+        # in an order that does not depend on the shuffle
+        rows = sorted(d for b in batches for d in b.column("ids").to_pylist())
         if not rows:
             return
-        ids = np.full((len(rows), A.WINDOW + 1), END)
-        real = np.zeros((len(rows), A.WINDOW), bool)
-        for i, r in enumerate(rows):
-            ids[i, : len(r)] = r
-            real[i, : len(r) - 1] = True
-        x, y = ids[:, :-1], classes[ids[:, 1:]]
+        x, y, real = _tiles(rows)
+        y = classes[y]
         new = A.train(weights, follow, inputs[x], classes[x], y, real, RATE * (1 - turn / ROUNDS), turn)
-        flat = np.concatenate([new[n].ravel() for n in sorted(new)]).astype(np.float64) * len(rows)
+        flat = np.concatenate([new[n].ravel() for n in sorted(new)]).astype(np.float64) * len(x)
         part = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int64()), pa.array([len(rows)], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["part", "n", "data"]
+            [pa.array([part], pa.int64()), pa.array([len(x)], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["part", "n", "data"]
         )
 
     return run
@@ -230,16 +247,22 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"part": [table["part"][0].as_py() // 32], "n": [sum(table["n"].to_pylist())], "data": pa.array([total.tobytes()], pa.binary())})
 
 
-def _trained(windows: DataFrame, weights: dict, follow: np.ndarray, inputs: np.ndarray, classes: np.ndarray) -> dict:
-    """Rounds of local training and averaging; sums of 32 tasks meet in one group, then 32 of those."""
-    count = windows.count()
-    if not count:
-        return weights
-    tasks = -(-count // PER_TASK)
-    dealt = written(windows, "windows").repartition(tasks, F.xxhash64("ids"))
+def _trained(texts: DataFrame, weights: dict, follow: np.ndarray, inputs: np.ndarray, classes: np.ndarray) -> dict:
+    """Rounds of local training and averaging; sums of 32 tasks meet in one group, then 32 of those.
+
+    Each training text (``doc_id, ids``) is in one round, and all of its windows are trained on.
+    """
+    kind, turns = texts.schema["doc_id"].dataType.simpleString(), F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS))
+    windows = F.sum(F.ceil(F.length("ids") / (2 * A.WINDOW))).alias("n")
+    counts = {r["turn"]: r["n"] for r in texts.groupBy(turns.alias("turn")).agg(windows).collect()}
     for turn in range(ROUNDS):
+        if not counts.get(turn):
+            continue
+        tasks = -(-counts[turn] // PER_TASK)
+        runs = texts.where(turns == turn).mapInArrow(_runs, f"doc_id {kind}, at long, ids binary")
+        dealt = runs.repartition(tasks, F.xxhash64("doc_id", "at", "ids")).select("ids")
         sums = dealt.mapInArrow(_train_task(weights, follow, inputs, classes, turn), "part long, n long, data binary")
-        left = tasks
+        left = max(tasks, 33)  # once at least: Spark may deal more tasks than asked for
         while left > 32:
             sums = sums.groupBy(F.floor(F.col("part") / 32)).applyInArrow(_add, "part long, n long, data binary")
             left = -(-left // 32)
@@ -295,7 +318,8 @@ def fit(docs: DataFrame, path: str) -> tuple[Model, DataFrame, DataFrame]:
     inputs = classes.copy()
     inputs[np.argsort(-counts, kind="stable")[:INPUTS]] = CLASSES + np.arange(INPUTS)
     start = A.initial(CLASSES + INPUTS, CLASSES)
-    weights = _trained(gathered.where(F.col("kind") == _WINDOW).select("ids"), start, follow, inputs, classes)
+    learnt = gathered.where((F.col("kind") == _TEXT) & ~F.col("held_out")).select("doc_id", "ids")
+    weights = _trained(learnt, start, follow, inputs, classes)
     top = words.orderBy(F.col("n").desc(), "a").limit(HEAD).select("word", "n").collect()
     head = {bytes(r["word"]): float(np.log10(r["n"] + 1)) for r in top}
     total, distinct = (size["total"] or 0) + ends, size["distinct"] + (ends > 0)
