@@ -327,6 +327,22 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert sorted((str(r.doc_id), round(r.score, 9)) for r in again) == sorted((str(r.doc_id), round(r.score, 9)) for r in got)
 
 
+def test_classifier_learns_from_unlabelled_documents(spark, documents):
+    docs = [(i, f"nastyword plain{i} and some more text here" if i % 2 else f"fine day plain{i} and some more text here") for i in range(60)]
+    known = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    docs += [(1000 + i, f"nastyword other{i} and!! some!! more!! text here") for i in range(400)]
+    docs += [(2000 + i, f"quiet other{i} and some more text here") for i in range(400)]
+    model, votes = toxicity.fit(documents(docs), known)
+    # where the slope is zero, scores and posteriors of all documents, not of the labelled alone, have one sum
+    patterns = votes.groupBy("votes", "label").count().withColumnRenamed("count", "n")
+    weights, bias = toxicity.label_model(patterns, model.voters)
+    off = 0.0
+    for r in patterns.collect():
+        target = 1 / (1 + math.exp(-np.clip(sum(weights[v] for v in r.votes) + bias, -30, 30))) if r.label is None else r.label
+        off += r.n * (toxicity._score([r.votes], model.weights, model.bias)[0] - target)
+    assert abs(off) < 0.05
+
+
 AWKWARD_LATER = [(None if d is None else 5000 + d, t) for d, t in AWKWARD]
 
 

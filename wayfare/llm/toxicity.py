@@ -8,7 +8,9 @@ each voter how often it fires in toxic and in clean documents and how voters
 depend on each other within a class; EM over the vote patterns of all
 documents estimates both, with the labels of the training part held fixed.
 A voter's evidence is divided by what its correlated fellows repeat of it. A
-logistic classifier on the votes is then trained on the posterior labels.
+logistic classifier on the votes is then trained on the posterior labels of all
+documents: the label itself where the training part has one, else what the label
+model infers from the votes.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from wayfare.cluster import written
 from wayfare.llm.common import id_remainder, sliced
 
 FOLDS = 5
-#: lexicon voters; labelled rows that the lexicon is induced from and rows the classifier is fit on
-LEXICON, LABELLED, FITTED = 256, 200_000, 40_000
+#: lexicon voters; labelled rows that the lexicon is induced from
+LEXICON, LABELLED = 256, 200_000
 #: letters of a word beginning, and least length of a word that has one
 STEM, STEMMED = 5, 7
 ROUNDS = 4
@@ -239,13 +241,12 @@ def _summed(patterns: DataFrame, weights: np.ndarray, bias: float) -> tuple[np.n
     return docs, sums
 
 
-def label_model(votes: DataFrame, voters: Voters) -> tuple[np.ndarray, float]:
-    """Evidence of each voter and the bias, by EM over the vote patterns of all documents.
+def label_model(patterns: DataFrame, voters: Voters) -> tuple[np.ndarray, float]:
+    """Evidence of each voter and the bias, by EM over the vote patterns (``votes, label, n``) of all documents.
 
     Equal patterns are one row, so a round reads a small table; what comes
     back is one number a voter, or pair of voters, whatever the number of documents.
     """
-    patterns = written(votes.groupBy("votes", "label").agg(F.count("*").alias("n")), "patterns")
     rates, prior, overlap = voters.rates, voters.prior, np.ones(len(voters.rates))
     # without a label, EM would find some two classes, not these two
     for _ in range(ROUNDS if voters.labelled else 0):
@@ -274,25 +275,48 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     marked = _labelled(docs.select("doc_id", "text"), labels).select("doc_id", "text", "label")
     kind = docs.schema["doc_id"].dataType.simpleString()
     votes = written(marked.mapInArrow(_voted(voters.lexicon), f"doc_id {kind}, label int, votes array<int>"), "votes")
-    weights, bias = label_model(votes, voters)
-    # a bounded sample of labelled training rows, by hash
-    rows = votes.where("label is not null").orderBy(F.xxhash64("doc_id")).limit(FITTED).select("votes", "label").collect()
-    if not rows:
-        return Model(voters, weights, bias), votes
-    x = _matrix([r["votes"] for r in rows], len(weights)).astype(float)
-    target = _posterior(x, np.array([r["label"] for r in rows], float), weights, bias)
-    return Model(voters, *_logistic(x, target, weights, bias)), votes
-
-
-def _logistic(x: np.ndarray, target: np.ndarray, weights: np.ndarray, bias: float, ridge: float = 1.0, rounds: int = 25):
-    """Logistic regression on soft labels by Newton steps, drawn towards half the label model's evidence."""
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    start = np.append(np.clip(weights, -3, 3) / 2, min(bias, 0.0))
+    patterns = written(votes.groupBy("votes", "label").agg(F.count("*").alias("n")), "patterns")
+    weights, bias = label_model(patterns, voters)
+    if voters.labelled:
+        return Model(voters, *_logistic(patterns, weights, bias)), votes
+    return Model(voters, weights, bias), votes
+
+
+def _slopes(w: np.ndarray, weights: np.ndarray, bias: float):
+    """Vote patterns -> (i, toxic, clean): a row of the loss's curvature at ``w`` and the slope, weighted by documents."""
+    width = len(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        curve, slope = np.zeros((width, width)), np.zeros((width, 1))
+        for batch in batches:
+            label = np.array([-1 if v is None else v for v in batch.column("label").to_pylist()], float)
+            x = np.ones((batch.num_rows, width))
+            x[:, :-1] = _matrix(batch.column("votes").to_pylist(), width - 1)
+            n = batch.column("n").to_numpy().astype(float)
+            target = _posterior(x[:, :-1], label, weights, bias)
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            curve += x.T @ (x * (n * p * (1 - p))[:, None])
+            slope[:, 0] += x.T @ (n * (p - target))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(width), pa.int32()), *(pa.array([r.tobytes() for r in side], pa.binary()) for side in (curve, slope))],
+            ["i", "toxic", "clean"],
+        )
+
+    return run
+
+
+def _logistic(patterns: DataFrame, weights: np.ndarray, bias: float, ridge: float = 1.0, rounds: int = 25):
+    """Logistic regression on the posteriors of all patterns by Newton steps, drawn towards half the label model's evidence.
+
+    Slope and curvature are summed on Spark: as many numbers as pairs of voters, whatever the number of documents.
+    """
+    schema, start = "i int, toxic binary, clean binary", np.append(np.clip(weights, -3, 3) / 2, min(bias, 0.0))
     w, penalty = start.copy(), np.append(np.full(len(weights), ridge), 1e-3)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - target) + penalty * (w - start)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        curve, slope = np.diag(penalty), penalty * (w - start)
+        for r in patterns.mapInArrow(_slopes(w, weights, bias), schema).groupBy("i").applyInArrow(_added, schema).collect():
+            curve[r["i"]] += np.frombuffer(r["toxic"])
+            slope[r["i"]] += np.frombuffer(r["clean"])[0]
         step = np.linalg.solve(curve, slope)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
@@ -312,8 +336,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ids are scored and never learned from; repeated rows get equal scores; a
     document with two labels counts as toxic if one says so; without any usable
     label the pattern voters decide at their first rates; an empty table gives no rows;
-    other columns are not read. The classifier and the lexicon are fit on bounded
-    samples of labelled rows (``FITTED``, ``LABELLED``).
+    other columns are not read. The classifier is fit on all documents, the lexicon on a
+    bounded sample of labelled rows (``LABELLED``).
     """
     model, votes = fit(docs, labels)
 
