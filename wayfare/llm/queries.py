@@ -11,11 +11,14 @@ from wayfare.llm.common import table
 from wayfare.llm.golomb import exact_groups
 from wayfare.llm.harmonic import pack
 from wayfare.llm.hashtree import shard_documents
+from wayfare.llm.importance import resample
 from wayfare.llm.linededup import dedup_lines
 from wayfare.llm.mixing import mix
 from wayfare.llm.nndescent import near_vectors
 from wayfare.llm.oracles import ORACLES
 from wayfare.llm.pagediff import main_texts
+from wayfare.llm.randomness import scan_secrets
+from wayfare.llm.spelling import spelling_variants
 from wayfare.llm.vptree import near_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +66,24 @@ def op10_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFram
     return toxicity.score_documents(documents, table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
-_ALL = [op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines, op5_harmonic_packing, op6_sainte_lague_mix, op7_attention_scores, op8_golomb_exact_dedup, op9_nearest_url_extraction, op10_weak_supervision_toxicity]
+def op11_gram_index_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return resample(documents, table(spark, sf_dir, "benchmark", "text"))
+
+
+def op13_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+_ALL = [
+    op1_vantage_point_simhash, op2_nn_descent_embeddings, op3_hash_tree_shards, op4_deletion_neighbourhood_lines,
+    op5_harmonic_packing, op6_sainte_lague_mix, op7_attention_scores, op8_golomb_exact_dedup, op9_nearest_url_extraction,
+    op10_weak_supervision_toxicity, op11_gram_index_spelling, op12_importance_resampling, op13_randomness_secrets,
+]
 QUERIES: dict[str, Query] = {q.__name__: q for q in _ALL}
 
 __all__ = ["ORACLES", "QUERIES"]
