@@ -228,8 +228,8 @@ def brute_test(run: str, counts: dict[str, int]):
     index = next(i for i, kind in enumerate(kinds) if re.search(kind, run) and (i == 3 or classes[0]))
     encoding = randomness.ENCODINGS[index]
     body = [run.lower(), run, run.lower(), run.replace("-", "+").replace("_", "/")][index]
-    shares = np.array(randomness.ordinary_shares(counts, encoding))
-    assert shares.sum() == pytest.approx(1)
+    nulls = [np.array(randomness.ordinary_shares(counts, encoding, d)) for d in (0.1, 0.9)]
+    assert all(shares.sum() == pytest.approx(1) for shares in nulls)
     v, n, k = np.array([encoding.alphabet.index(c) for c in body]), len(body), len(encoding.alphabet)
     chi = sum((np.sum(v == s) - n / k) ** 2 / (n / k) for s in range(k))
     z = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
@@ -237,7 +237,8 @@ def brute_test(run: str, counts: dict[str, int]):
     changes = ((half[1:] != half[:-1]).sum() - (n - 1) / 2) / math.sqrt((n - 1) / 4)
     serial = (centred[1:] * centred[:-1]).sum() / ((k * k - 1) / 12 * math.sqrt(n - 1))
     p = min(1, 3 * min(_tail(z), 2 * _tail(abs(changes)), 2 * _tail(abs(serial))))
-    return index, math.floor(2 * math.log2(n)), min(2000, math.floor(4 * np.log(1 / k / shares[v]).sum() + 1e-9)), p
+    evidence = min(np.log(1 / k / shares[v]).sum() for shares in nulls)
+    return index, math.floor(2 * math.log2(n)), min(2000, math.floor(4 * evidence + 1e-9)), p
 
 
 def test_battery_equals_numpy(spark):
@@ -259,7 +260,7 @@ def test_battery_equals_numpy(spark):
 def test_random_runs_are_found_and_ordinary_ones_are_not(documents):
     rng = random.Random(9)
     made = lambda a, n: "".join(rng.choices(a, k=n))
-    text = "the quick brown fox jumps over the lazy dog and reads Ordinary Prose about nothing at all, 12 times in 1999 " * 30
+    text = "the quick brown fox jumps over the lazy dog and reads Ordinary Prose about nothing at all, 12 times in 1999 " * 3000
     plain = ["Invoice-2024-000123-AB", "some-long-hyphenated-Name-of-things", "2024-01-02T10-20-30Z", "0000000000000000000a",
              "/usr/local/lib/python3/dist-packages", "InternationalizationOfThings12", "4111111111111111111111", "x" * 500 + "1",
              "Incomprehensibilities", "abababababababababab12", "mmmmmmmmmmnnnnnnnnnnoooooooooopppppppppp0123456789"]

@@ -11,9 +11,9 @@ characters allow (hex, base 32, base 36, base 64). Each is tested for
 A run that any of the three rejects, at ``ALPHA`` shared by the three, is structured and
 goes. Of the rest, ordinary names and numbers must not pass for random ones however
 many there are: each run has the likelihood ratio of the uniform alphabet
-against the symbols of the corpus' own text (digits taken as often as all
-others together), an e-value that grows with its length, and Benjamini-Hochberg for
-e-values keeps the expected share of ordinary runs among the reported ones below
+against the symbols of the corpus' own text, the lesser of a run mostly of digits and a
+run mostly of others. That is an e-value which grows with the length, and Benjamini-Hochberg
+for e-values keeps the expected share of ordinary runs among the reported ones below
 ``Q`` in every class of encoding and length, whatever the dependence between runs.
 """
 
@@ -39,6 +39,8 @@ RUN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST_RUN},}}"
 KINDS = ["assign", "access", "hex", "random"]
 #: level of the battery, and the share of ordinary runs allowed among the reported
 ALPHA, Q = 0.001, 0.01
+#: shares of digits in the two sorts of ordinary runs
+DIGIT_SHARES = (0.1, 0.9)
 #: e-values are rounded down to this fraction of a natural logarithm; above the last step they are equal
 STEPS, LAST_STEP = 4, 2000
 
@@ -169,15 +171,18 @@ def symbol_counts(docs: DataFrame) -> dict[str, int]:
     return {c: row[i] or 0 for i, c in enumerate(symbols)}
 
 
-def ordinary_shares(counts: dict[str, int], encoding: Encoding) -> list[float]:
-    """How ordinary runs use the alphabet: the corpus' shares, digits as often as all others together."""
+def ordinary_shares(counts: dict[str, int], encoding: Encoding, digit_share: float) -> list[float]:
+    """How ordinary runs use the alphabet: digits as often as told, both sides as the corpus does."""
     folded = []
     for c in encoding.alphabet:
         same = {"+": "+-", "/": "/_"}.get(c, c if encoding.name == "base64" else c.lower() + c.upper())
         folded.append(1 + sum(counts[s] for s in set(same)))
     digits = sum(n for c, n in zip(encoding.alphabet, folded, strict=True) if c.isdigit())
     others = sum(folded) - digits
-    return [n / (2 * (digits if c.isdigit() else others)) for c, n in zip(encoding.alphabet, folded, strict=True)]
+    return [
+        n * (digit_share / digits if c.isdigit() else (1 - digit_share) / others)
+        for c, n in zip(encoding.alphabet, folded, strict=True)
+    ]
 
 
 def judged_runs(counts: dict[str, int]) -> Column:
@@ -185,8 +190,9 @@ def judged_runs(counts: dict[str, int]) -> Column:
 
     The verdict is the encoding, the length class, the step of the e-value and the p-value of the battery.
     """
-    gains = [_literal([-math.log(len(e.alphabet)) - math.log(p) for p in ordinary_shares(counts, e)]) for e in ENCODINGS]
-    gains, alphabets = F.array(*gains), _literal([e.alphabet for e in ENCODINGS])
+    ratios = lambda e, d: _literal([-math.log(len(e.alphabet) * p) for p in ordinary_shares(counts, e, d)])
+    gains = [F.array(*(ratios(e, d) for e in ENCODINGS)) for d in DIGIT_SHARES]
+    alphabets = _literal([e.alphabet for e in ENCODINGS])
 
     def read(run: Column, i: Column) -> Column:
         encoding, end = F.lit(None).cast("int"), F.get(F.col("random_end"), i)
@@ -203,8 +209,8 @@ def judged_runs(counts: dict[str, int]) -> Column:
 
     def judge(r: Column) -> Column:
         n, k = F.length(r["body"]), F.length(r["alphabet"])
-        gained = F.zip_with(r["used"], F.get(gains, r["encoding"]), lambda c, g: c * g)
-        evidence = F.aggregate(gained, F.lit(0.0), lambda a, x: a + x)
+        gained = [F.zip_with(r["used"], F.get(g, r["encoding"]), lambda c, x: c * x) for g in gains]
+        evidence = F.least(*(F.aggregate(x, F.lit(0.0), lambda a, g: a + g) for x in gained))
         worst = F.least(chi_squared_p(r["used"], n, k), neighbour_p(r["body"], r["alphabet"], k))
         return F.struct(
             r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"),
