@@ -5,8 +5,9 @@ neighbours there. Text lines (blocks) in the longest common subsequence of
 two neighbours belong to the host's template and are deleted. Two rules keep
 that from going wrong where a neighbour proves nothing: two pages that share
 nearly all of their content are copies, of which nothing is deleted, and a line
-inside ``article`` or ``main`` goes only if each neighbour that is no copy shows it
-there too, as a sentence may stand in two articles. An exact check follows for what no neighbour shows (a host's
+inside ``article`` or ``main`` goes only if it is a label of few words at the
+article's beginning or end and each neighbour that is no copy shows it there too, as sentences
+may stand in several articles. An exact check follows for what no neighbour shows (a host's
 only page, an advert of one page): lines that the markup itself declares to be
 menu, header, footer, sidebar, notice, advert, form or comments.
 
@@ -270,6 +271,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _LINES = "codes array<long>, sizes array<int>, roles array<int>"
 
 
+#: a line of an article is a label up to so many words
+LABEL_WORDS = 5
 #: stands among a page's lines for a neighbour that is no copy
 _TELLING = -1
 
@@ -340,13 +343,30 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([kind, *_FOUND[:2]]))
 
 
+def _label(line: str) -> bool:
+    """Few words and no end of a sentence; sentences may be shared content."""
+    return line.count(" ") < LABEL_WORDS and line[-1:].isalnum()
+
+
+def _borders_of_main(roles: list[int], shared: set[int]) -> set[int]:
+    """Shared lines at the beginning and the end of the article; a sentence inside it can well stand in others too.
+
+    An article of shared lines alone is left whole.
+    """
+    main = [i for i, r in enumerate(roles) if r == MAIN]
+    first = next((at for at, i in enumerate(main) if i not in shared), len(main))
+    last = next((at for at, i in enumerate(reversed(main)) if i not in shared), 0)
+    return set() if first == len(main) else {*main[:first], *main[len(main) - last :]}
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         texts, shared, marked = [], [], []
         for lines, roles, found in zip(*(batch.column(n).to_pylist() for n in ("lines", "roles", "shared")), strict=True):
             times = {f["line"]: f["times"] for f in found or ()}
             telling = times.pop(_TELLING, 0)
-            template = {i for i, n in times.items() if roles[i] != MAIN or n == telling}
+            everywhere = {i for i, n in times.items() if n == telling and _label(lines[i])}
+            template = {i for i in times if roles[i] != MAIN} | _borders_of_main(roles, everywhere)
             kept = [t for i, (t, r) in enumerate(zip(lines, roles, strict=True)) if r != CHROME and i not in template]
             texts.append("\n\n".join(kept))
             shared.append(len(template))
