@@ -11,9 +11,14 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
+import compare
+from wayfare.cluster import scratch_path
 from wayfare.functions.fixed import HASH_BUCKETS, RATING_CODES
 from wayfare.plans import model as M
-from wayfare.plans.rank_city import rank_city
+from wayfare.plans.rank_city import rank_city, rank_every_city
+from wayfare.registry import queries as Q
+from wayfare.registry import views as V
+from wayfare.sources.tables import of_city
 
 WORDS = {"10": "awful", "20": "poor", "30": "plain", "40": "pleasant", "50": "superb"}
 CITIES = ["london", "nyc", "paris"]
@@ -150,3 +155,84 @@ def test_both_scores_differ_in_what_they_count(reviews, result):
     for row in reviews.filter(F.col("city") == "paris").collect():
         given[row["attraction"]].append(int(row["rating"]) // 10)
     assert observed == {name: pytest.approx(sum(x) / len(x)) for name, x in given.items()}
+
+
+def test_every_city_equals_one_by_one_and_reads_texts_once(spark, reviews):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        read.add(1)
+        return text
+
+    rows = reviews.count()
+    every = rank_every_city(reviews.withColumn("review", noted.asNondeterministic()("review")), CITIES)
+    got = sorted(tuple(r) for r in every.predicted.collect())
+    assert read.value == rows
+    assert got == sorted(tuple(r) for city in CITIES for r in rank_city(reviews, city).predicted.collect())
+    one = rank_city(reviews, "paris").model
+    assert every.models["paris"].labels == one.labels
+    assert every.models["paris"].text.stages[-1].getScalingVec().toArray() == pytest.approx(one.text.stages[-1].idf.toArray())
+
+
+def test_every_city_without_a_class(spark, reviews):
+    few = reviews.where("not (rating = '30' and city <> 'paris')")
+    with pytest.raises(ValueError, match="nothing to balance"):
+        _ = rank_every_city(few, CITIES).models
+    models = rank_every_city(few, CITIES, skip_empty=True).models
+    assert "30" not in models["paris"].labels and "30" in models["nyc"].labels
+
+
+def test_a_saved_model_predicts_the_same(spark, reviews, result):
+    for number, model in enumerate([result.model, rank_every_city(reviews, ["nyc"]).models["nyc"]]):
+        path = scratch_path(spark, f"model{number}")
+        model.save(spark, path)
+        loaded = M.RatingModel.load(spark, path)
+        assert loaded.labels == model.labels
+        told = [sorted((r.review_id, r.predicted_rating, r.probability) for r in m.predict(reviews).collect()) for m in (model, loaded)]
+        assert told[0] == told[1]
+        with pytest.raises(Exception, match="already exists"):
+            model.save(spark, path)
+    spark.createDataFrame([(99,)], "version int").write.mode("overwrite").parquet(f"{path}/version")
+    with pytest.raises(ValueError, match="version 99"):
+        M.RatingModel.load(spark, path)
+
+
+#: classes by term: probabilities and margins of a published model, in SQL
+_MARGINS = """
+    margin as (
+        select f.review_id, c.label, sum(f.value * c.weight) + any_value(i.weight) as m
+        from features f join coefficient c using (bucket) join intercept i on i.label = c.label group by all)"""
+
+
+def test_whole_reviews_in_sql(spark):
+    """Gradient of the fit and best class of each held-out review, from published coefficients in SQL."""
+    sf_dir = "/root/testdata/sf0.01"
+    reviews, duck = V.reviews(spark, sf_dir), compare.connect(sf_dir)
+    train, _ = M.training_parts(reviews, Q.HELD_OUT)
+    model = M.fit(train)
+    weights, added = model.classifier.coefficientMatrix.toArray(), model.classifier.interceptVector.toArray()
+    duck.execute("create table coefficient (label int, bucket int, weight double)")
+    duck.executemany("insert into coefficient values (?, ?, ?)", [(k, int(b), float(w[b])) for k, w in enumerate(weights) for b in w.nonzero()[0]])
+    duck.execute("create table intercept (label int, weight double)")
+    duck.executemany("insert into intercept values (?, ?)", [(k, float(x)) for k, x in enumerate(added)])
+
+    duck.execute("create table features as " + Q._with_views("select * from training_features", ["training_features"]))
+    gradient = duck.execute(f"""
+        with {_MARGINS},
+        p as (select review_id, label, exp(m - max(m) over w) / sum(exp(m)) over w * exp(max(m) over w) as p
+              from margin window w as (partition by review_id))
+        select p.label, bucket, sum(value) filter (where f.label = p.label), sum(value * p)
+        from features f join p using (review_id) group by p.label, bucket""").fetchall()
+    sql = {(label, bucket): ((observed or 0) - expected, observed or 0) for label, bucket, observed, expected in gradient}
+    gaps = {(r.label, r.bucket): r.observed - r.expected for r in M.moment_gaps(model, train).collect()}
+    assert sql.keys() == gaps.keys() and len(gaps) > 5000
+    assert all(abs(sql[k][0] - gaps[k]) < 1e-6 for k in gaps)
+    assert max(abs(gap) / max(1, observed) for gap, observed in sql.values()) < 1e-3
+
+    held = of_city(reviews, Q.HELD_OUT)
+    own = model.text.transform(held).select("review_id", M._entries("features")).toPandas()
+    duck.execute("drop table features; create table features as select * from own")
+    best = dict(duck.execute(f"with {_MARGINS} select review_id, arg_max(label, m) from margin group by review_id").fetchall())
+    predicted = {r.review_id: int(r.prediction) for r in model.predict(held).collect()}
+    assert best == {i: predicted[i] for i in best} and len(best) > 300

@@ -37,7 +37,7 @@ def balanced(
     reaches the scan: no class is sorted, shuffled or gathered in one task.
     """
     cutoffs = class_cutoffs(reviews, key, skip_empty)
-    return reviews.filter(reduce(or_, [_up_to(code, key, last) for code, last in sorted(cutoffs.items())]))
+    return reviews.filter(reduce(or_, [up_to(code, key, last) for code, last in sorted(cutoffs.items())]))
 
 
 def class_samples(
@@ -45,10 +45,11 @@ def class_samples(
 ) -> dict[str, DataFrame]:
     """The balanced sample of each star class by itself."""
     cutoffs = class_cutoffs(reviews, key, skip_empty)
-    return {code: reviews.filter(_up_to(code, key, last)) for code, last in sorted(cutoffs.items())}
+    return {code: reviews.filter(up_to(code, key, last)) for code, last in sorted(cutoffs.items())}
 
 
-def _up_to(code: str, key: str, last: int) -> Column:
+def up_to(code: str, key: str, last: int) -> Column:
+    """Rows of a class up to a key."""
     return (F.col("rating") == code) & (F.col(key) <= F.lit(last))
 
 

@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.operators.ranking import rank_scores
 from wayfare.operators.scores import observed_scores
-from wayfare.plans.model import RatingModel, accuracy, fit, predicted_scores, training_parts
+from wayfare.plans.model import (
+    CountedReviews,
+    RatingModel,
+    accuracy,
+    count_reviews,
+    fit,
+    fit_every_city,
+    predicted_scores,
+    scores_of_predictions,
+    training_parts,
+)
 from wayfare.sources import lines
 from wayfare.sources.ranked import write_ranked
 from wayfare.sources.tables import land_reviews, landed_reviews, of_city
@@ -54,6 +64,37 @@ def rank_city(reviews: DataFrame, held_out: str, skip_empty: bool = False) -> Ci
     return CityRanking(reviews, held_out, skip_empty)
 
 
+@dataclass
+class EveryCityRanking:
+    """Each city held out in turn; texts are read once for all of them."""
+
+    reviews: DataFrame
+    cities: list[str]
+    skip_empty: bool = False
+
+    @cached_property
+    def _counted(self) -> CountedReviews:
+        return count_reviews(self.reviews)
+
+    @cached_property
+    def models(self) -> dict[str, RatingModel]:
+        return fit_every_city(self._counted, self.cities, skip_empty=self.skip_empty)
+
+    @cached_property
+    def predicted(self) -> DataFrame:
+        """The lists that ``rank_city(reviews, city).predicted`` gives, city by city."""
+        rated = [
+            self.models[city].predict_counted(of_city(self._counted.rows, city)).select("city", "attraction", "predicted_rating")
+            for city in self.cities
+        ]
+        return rank_scores(scores_of_predictions(reduce(DataFrame.unionByName, rated)))
+
+
+def rank_every_city(reviews: DataFrame, cities: list[str], skip_empty: bool = False) -> EveryCityRanking:
+    """For each city train on the others, then score and rank it."""
+    return EveryCityRanking(reviews, cities, skip_empty)
+
+
 def publish(spark: SparkSession, files: str, target: str, cities: list[str], bars: bool = False) -> DataFrame:
     """The whole job, from collected files to ranked lists.
 

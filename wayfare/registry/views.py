@@ -235,13 +235,6 @@ def partly_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews(spark, sf_dir).withColumn("city", city)
 
 
-def telling_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews whose text is their first words and a word for the rating, several times."""
-    word = F.concat(F.lit("starword"), F.translate("rating", "123450", "abcdez"))
-    text = F.concat_ws(" ", F.substring("review", 1, 60), F.repeat(F.concat(F.lit(" "), word), F.lit(6)))
-    return reviews(spark, sf_dir).withColumn("review", text)
-
-
 def visited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reviews, their attractions named after the real catalogue's, by number within the city."""
     names = catalogue(spark).groupBy("city").agg(F.array_sort(F.collect_list("attraction")).alias("names"))
