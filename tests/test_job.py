@@ -43,6 +43,8 @@ def world(spark):
 def test_collected_files_become_lists(spark, tmp_path):
     reviews = world(spark)
     L.write_city_folders(reviews, f"{tmp_path}/files")
+    # a file as collected, next to the written ones
+    (tmp_path / "files/london").mkdir()
     (tmp_path / "files/london/broken.txt").write_text("only||two\nann||50||fine||May 2\n")
     ranked = publish(spark, f"{tmp_path}/files", f"{tmp_path}/job", ["london", "paris", "nyc"], bars=True)
     assert spark.read.parquet(f"{tmp_path}/job/quarantine").count() == 1

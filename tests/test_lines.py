@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators.profile import line_audit
+from wayfare.operators.balance import balanced
 from wayfare.operators.scores import observed_scores
+from wayfare.operators.split import with_split
 from wayfare.functions.text import clean_text, content_tokens, tokens
 from wayfare.sources import lines as L
 from wayfare.sources import ranked as R
@@ -167,3 +169,73 @@ def test_published_list(spark, tmp_path):
         ("Highgate_Cemetery", 2),
         ("Greenwich", 3),
     ]
+
+
+ODD = [("lon:don", "A/B? 50% + c=d"), ("são paulo", "x%41"), ("city=", "file=q"), ("paris", "{a}#^[1]")]
+
+
+def test_written_names_come_back(spark, tmp_path):
+    """Names that paths cannot hold are escaped by the writer; nothing is renamed."""
+    rows = [(i, "u", "50", f"text {i}", "d", city, name) for i, (city, name) in enumerate(ODD)]
+    reviews = spark.createDataFrame(rows, L.REVIEWS)
+    L.write_city_folders(reviews, f"{tmp_path}/files")
+    assert all(p.name.startswith("city=") for p in (tmp_path / "files").iterdir() if p.is_dir())
+    back = L.reviews_of(L.scan_city_folders(spark, f"{tmp_path}/files/*/*.txt"))
+    assert sorted((r.city, r.attraction, r.review) for r in back.collect()) == sorted((c, n, f"text {i}") for i, (c, n) in enumerate(ODD))
+
+
+def _stable(spark, path, split):
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        lines = L.scan_partitioned(spark, path, stable=True)
+        reviews = L.reviews_of(lines)
+        marked = with_split(balanced(reviews))
+        told = sorted((r.review_id, r.review, r.split) for r in marked.collect())
+        return lines.rdd.getNumPartitions(), sorted((r.line_id, r.line) for r in lines.collect()), told
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_samples_do_not_move_with_the_splits(spark, tmp_path):
+    """R2 and R3 by stable ids are equal at few and many splits; repeated lines have ids of their own."""
+    rows = [(i, f"u{i % 50}", str(10 * (1 + i % 5)), "same words" if i % 3 else f"words {i} " * 20, "d", "london", f"a{i % 2}") for i in range(3000)]
+    L.write_lines(spark.createDataFrame(rows, L.REVIEWS).repartition(1), f"{tmp_path}/lines")
+    found = [_stable(spark, f"{tmp_path}/lines", split) for split in (10_000_000, 60_000, 9_000)]
+    assert found[0][0] < 5 and found[1][0] >= 4 and found[2][0] >= 32
+    assert found[0][1:] == found[1][1:] == found[2][1:]
+    ids = [i for i, _ in found[0][1]]
+    assert len(set(ids)) == len(ids) == 3000 and min(ids) >= 0
+    assert len(found[0][2]) == 3000
+
+
+def test_stable_ids_of_odd_lines(spark):
+    schema = "line string, city string, attraction string, line_id long"
+    rows = [("a", None, None, 1), ("a", None, None, 2), (None, "x", "y", 3), ("", "x", "y", 4), ("", "x", "y", 5)] + [("hot", "x", "y", 6)] * 500
+    lines = spark.createDataFrame(rows, schema)
+    one, two = ({(r.line_id, r.line, r.city) for r in L.stable_ids(df, window).collect()} for df, window in ((lines, 1000), (lines.repartition(3), 50)))
+    assert len(one) == len(rows) and one == two
+    assert L.stable_ids(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_a_city_is_landed_again_alone(spark, tmp_path):
+    path = f"{tmp_path}/landed"
+    reviews = sample(spark)
+    files = lambda: {p.parent.name: set() for p in (tmp_path / "landed").glob("city=*/*.parquet")} | {
+        name: {p.name for p in (tmp_path / "landed" / name).glob("*.parquet")} for name in ("city=london", "city=paris")
+    }
+    assert {(r.city, r.landing, r.n) for r in T.land_again(reviews, path).collect()} == {("london", 1, 20), ("paris", 1, 20)}
+    before = files()
+    changed = reviews.where("city = 'paris' and review_id > 10").withColumn("review", F.lit("anew"))
+    assert [(r.city, r.landing, r.n) for r in T.land_again(changed, path).collect()] == [("paris", 2, 15)]
+    after = files()
+    assert after["city=london"] == before["city=london"] and not after["city=paris"] & before["city=paris"]
+    landed = T.landed_reviews(spark, path)
+    assert landed.where("city = 'london'").count() == 20
+    assert {r.review for r in landed.where("city = 'paris'").collect()} == {"anew"}
+    assert {(r.city, r.landing, r.n, len(r.files)) for r in T.landing_manifest(spark, path).collect()} == {
+        ("london", 1, 20, len(after["city=london"])), ("paris", 2, 15, len(after["city=paris"])),
+    }
+    assert T.landing_manifest(spark, path, latest=False).count() == 3
+    assert T.land_again(reviews.limit(0), path).collect() == [] and landed.count() == 35
+    assert T.landing_manifest(spark, f"{tmp_path}/nothing").collect() == []

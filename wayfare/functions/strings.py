@@ -74,11 +74,23 @@ def _path_parts(path: Column) -> Column:
     return F.split(whole, "/")
 
 
+def _folder_value(name: Column) -> Column:
+    """What a written folder ``column=value`` stands for; other names stand for themselves.
+
+    Writers escape characters that paths cannot hold; names as collected may hold a literal percent sign.
+    """
+    value = F.regexp_extract(name, r"^(?:city|file)=(.*)$", 1)
+    value = F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    # fixed value: how writers name the folder of a missing value
+    value = F.nullif(value, F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return F.when(name.rlike(r"^(?:city|file)="), value).otherwise(name)
+
+
 def path_city(path: Column) -> Column:
-    """The folder of ``.../<city>/<attraction>.txt``."""
-    return F.try_element_at(_path_parts(path), F.lit(-2))
+    """The folder of ``.../<city>/<attraction>.txt``, or of ``.../city=<city>/file=<attraction>.txt``."""
+    return _folder_value(F.try_element_at(_path_parts(path), F.lit(-2)))
 
 
 def path_attraction(path: Column) -> Column:
-    """The file name of ``.../<city>/<attraction>.txt`` without its ending."""
-    return F.regexp_replace(F.try_element_at(_path_parts(path), F.lit(-1)), r"\.txt$", "")
+    """The file name of ``.../<city>/<attraction>.txt`` without its ending, or that of ``file=...``."""
+    return F.regexp_replace(_folder_value(F.try_element_at(_path_parts(path), F.lit(-1))), r"\.txt$", "")

@@ -98,12 +98,12 @@ def rank_every_city(reviews: DataFrame, cities: list[str], skip_empty: bool = Fa
 def publish(spark: SparkSession, files: str, target: str, cities: list[str], bars: bool = False) -> DataFrame:
     """The whole job, from collected files to ranked lists.
 
-    Scans ``<city>/<attraction>.txt``, keeps broken lines under
+    Scans ``<city>/<attraction>.txt`` with stable ids, keeps broken lines under
     ``target/quarantine``, lands the reviews, ranks each city by its stars and writes
     the lists under ``target/ranked``. Returns ``(city, attraction, n, score, rank)``.
     ``rank_city`` on the landed reviews adds the predicted list of a held-out city.
     """
-    scanned = lines.scan_city_folders(spark, f"{files}/*/*.txt")
+    scanned = lines.scan_city_folders(spark, f"{files}/*/*.txt", stable=True)
     parsed = lines.parse_lines(scanned, bars=bars)
     lines.quarantined(parsed).select("line_id", "city", "attraction", "line").write.parquet(f"{target}/quarantine")
     land_reviews(lines.reviews_of(scanned, bars), f"{target}/reviews")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.cluster import materialise, scratch_path
+from wayfare.cluster import materialise, scratch_path, written
 from wayfare.functions import html as H
 from wayfare.functions import strings as S
 from wayfare.functions import text as X
@@ -254,6 +254,31 @@ def s1_text_scan(spark, sf_dir):
     return parsed.select("city", "attraction", *REVIEW_FIELDS, "field_count")
 
 
+@query(
+    "s1_stable_ids",
+    "select city, attraction, count(*) as n, count(*) as n_same, count(*) as n_ids from reviews group by all",
+    "reviews",
+)
+def s1_stable_ids(spark, sf_dir):
+    """Ids of lines, some of them repeated, at two split sizes: the same line has the same id."""
+    path = scratch_path(spark, "lines")
+    texts = V.reviews(spark, sf_dir).withColumn("review", F.when(F.col("review_id") % 7 != 0, F.col("review")))
+    L.write_lines(texts.withColumn("username", F.lit("user")), path)
+    whole = written(L.scan_partitioned(spark, path, stable=True), "ids")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        split = written(L.scan_partitioned(spark, path, stable=True), "ids")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    other = split.select("line_id", F.xxhash64("city", "attraction", "line").alias("other"))
+    met = whole.join(other, "line_id", "left")
+    same = F.col("other") == F.xxhash64("city", "attraction", "line")
+    return met.groupBy("city", "attraction").agg(
+        F.count("*").alias("n"), F.count_if(same).alias("n_same"), F.count_distinct("line_id").alias("n_ids")
+    )
+
+
 @query(
     "s2_city_folders",
     "select city, attraction, count(*) as n, sum(length(review)) as chars from reviews group by all",
@@ -348,6 +373,24 @@ def s8_landing(spark, sf_dir):
     return one.withColumn("scanned", F.lit(True)).unionByName(rest.withColumn("scanned", F.lit(False)))
 
 
+@query(
+    "s8_landing_again",
+    f"""select city, count(*) filter (where city <> '{HELD_OUT}' or review_id % 3 <> 0) as n,
+               case when city = '{HELD_OUT}' then 2 else 1 end as landing, city <> '{HELD_OUT}' as files_kept
+        from reviews group by city""",
+    "reviews",
+)
+def s8_landing_again(spark, sf_dir):
+    """All cities landed, then one of them anew with fewer rows: the others keep their files."""
+    path, reviews = scratch_path(spark, "landed"), V.reviews(spark, sf_dir)
+    first = T.land_again(reviews, path).select("city", F.col("files").alias("first")).collect()
+    T.land_again(T.of_city(reviews, HELD_OUT).where("review_id % 3 <> 0"), path)
+    before = spark.createDataFrame(first, "city string, first array<string>")
+    held = T.landed_reviews(spark, path).groupBy("city").agg(F.count("*").alias("n"))
+    kept = T.landing_manifest(spark, path).join(before, "city").select("city", "landing", (F.col("files") == F.col("first")).alias("files_kept"))
+    return held.join(kept, "city").select("city", "n", "landing", "files_kept")
+
+
 @query("s9_ranked_lines", "select city, attraction as line, rank as line_no from ranked", "ranked")
 def s9_ranked_lines(spark, sf_dir):
     """The published form, one file a city, read in the order of its lines."""

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from wayfare.functions.fixed import DELIMITER, REVIEW_FIELDS
 from wayfare.functions.strings import empty_if_missing, path_attraction, path_city
+from wayfare.operators.joins import lookup_join
+from wayfare.operators.ranking import row_number_within
 
 #: the same delimiter for ``split``, which takes a pattern
 _SPLIT_PATTERN = r"\|\|"
@@ -24,30 +26,55 @@ REVIEWS = T.StructType(
 )
 
 
-def scan_city_folders(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def scan_city_folders(spark: SparkSession, paths: str | Sequence[str], stable: bool = False) -> DataFrame:
     """Lines of ``<city>/<attraction>.txt`` files as one corpus.
 
-    ``line_id`` is unique and grows in the order of each file; it serves as
-    the review id, so keep it by landing the parsed reviews in a table.
+    ``line_id`` is unique and grows in the order of each file, but moves with the way files are
+    split; it serves as the review id, so keep it by landing the parsed
+    reviews in a table. ``stable`` ids (see ``stable_ids``) do not move.
     """
     path = F.col("_metadata.file_path")
-    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+    scanned = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("value").alias("line"),
         path_city(path).alias("city"),
         path_attraction(path).alias("attraction"),
         F.monotonically_increasing_id().alias("line_id"),
     )
+    return stable_ids(scanned) if stable else scanned
 
 
-def scan_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a tree written by ``write_lines``."""
+def scan_partitioned(spark: SparkSession, path: str, stable: bool = False) -> DataFrame:
+    """Lines of a tree written by ``write_lines``; ids as in ``scan_city_folders``."""
     schema = "value string, city string, attraction string"
-    return spark.read.schema(schema).text(path).select(
+    scanned = spark.read.schema(schema).text(path).select(
         F.col("value").alias("line"),
         "city",
         "attraction",
         F.monotonically_increasing_id().alias("line_id"),
     )
+    return stable_ids(scanned) if stable else scanned
+
+
+def stable_ids(lines: DataFrame, window_rows: int = 1_000_000) -> DataFrame:
+    """Replace ``line_id`` by one that follows from city, attraction, line and occurrence alone.
+
+    It is the same for any split size, listing order and number of cores, so
+    samples and splits by it are too. A line's id is a hash of 63 bits; lines whose hash is taken
+    again, as equal lines of a file are, get the hash of it and their place
+    among those (equal lines are interchangeable). Hashes are counted first: one
+    more scan, whose shuffle holds a number a line. Only lines of
+    repeated hashes are shuffled themselves, and a line repeated more than ``window_rows`` times is
+    numbered in ranges. Of n lines about n * n / 2**64 pairs share an id by chance.
+    """
+    order = ["city", "attraction", "line"]
+    keyed = lines.drop("line_id").withColumn("_key", F.shiftrightunsigned(F.xxhash64(*order), 1))
+    repeated = keyed.groupBy("_key").agg(F.count("*").alias("_times")).where("_times > 1")
+    marked = lookup_join(keyed, repeated, ["_key"], weight="_times", deal=order)
+    once = marked.where("_times is null").withColumn("line_id", F.col("_key"))
+    again = row_number_within(
+        marked.where("_times is not null"), ["_key"], [F.col(c) for c in order], "_place", window_rows
+    ).withColumn("line_id", F.shiftrightunsigned(F.xxhash64("_key", F.col("_place").cast("bigint")), 1))
+    return once.select(*lines.columns).unionByName(again.select(*lines.columns))
 
 
 def parse_lines(lines: DataFrame, line: str = "line", bars: bool = False) -> DataFrame:
@@ -124,17 +151,19 @@ def write_lines(reviews: DataFrame, path: str) -> None:
 
 
 def write_city_folders(reviews: DataFrame, path: str) -> None:
-    """Write review lines as ``<city>/<attraction>.txt``, the layout of collected files."""
+    """Write review lines by city and attraction, as ``write_city_lines`` does."""
     write_city_lines(
         reviews.select(review_line().alias("line"), "city", "attraction", F.col("review_id").alias("line_id")), path
     )
 
 
 def write_city_lines(lines: DataFrame, path: str) -> None:
-    """Write ``line, city, attraction, line_id`` as ``<city>/<attraction>.txt``.
+    """Write ``line, city, attraction, line_id`` as ``city=<city>/file=<attraction>.txt``.
 
     Each ``.txt`` is a folder of part files, so that an attraction of any size
-    is written by as many tasks as it needs; scans read it like a file.
+    is written by as many tasks as it needs. The tasks write below the final names and nothing
+    is renamed folder by folder; ``scan_city_folders`` reads ``*/*.txt`` of this layout and of
+    collected files alike.
     """
     (
         lines.hint("rebalance", "city", "attraction")
@@ -143,18 +172,3 @@ def write_city_lines(lines: DataFrame, path: str) -> None:
         .write.partitionBy("city", "file")
         .text(path)
     )
-    _bare_folders(lines.sparkSession, path, 2)
-
-
-def _bare_folders(spark: SparkSession, path: str, levels: int) -> None:
-    """Rename ``name=value`` folders to ``value``."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    top = place(path)
-    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(top):
-        name = status.getPath().getName()
-        if status.isDirectory() and "=" in name:
-            bare = place(top, name.split("=", 1)[1])
-            files.rename(status.getPath(), bare)
-            if levels > 1:
-                _bare_folders(spark, bare.toString(), levels - 1)

@@ -47,6 +47,57 @@ def landed_reviews(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REVIEWS).parquet(path)
 
 
+def land_again(reviews: DataFrame, path: str) -> DataFrame:
+    """Land the cities of ``reviews`` in place of what ``path`` has of them; other cities' files stay.
+
+    For a collection that comes city by city: the first call lands, a later one
+    replaces the folders of its own cities alone (a city without reviews in it
+    keeps what it has). Returns the manifest's new rows; see ``landing_manifest``.
+    The rows go out first and the manifest after them, so a job that fails in between is repeated whole.
+    """
+    spark = reviews.sparkSession
+    (
+        reviews.select([field.name for field in REVIEWS])
+        .hint("rebalance", "city", "attraction")
+        .sortWithinPartitions("city", "attraction", "review_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("city")
+        .parquet(path)
+    )
+    before = landing_manifest(spark, path, latest=False)
+    known = before.groupBy("city").agg(F.max("landing").alias("landing"), F.max_by("files", "landing").alias("old"))
+    # what lies there now; folders whose files are listed already were not written
+    held = landed_reviews(spark, path).groupBy("city").agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_set(F.col("_metadata.file_name"))).alias("files")
+    )
+    number = F.lit((before.agg(F.max("landing")).first()[0] or 0) + 1)
+    fresh = held.join(known, held["city"].eqNullSafe(known["city"]), "left").where("old is null or old <> files")
+    fresh = fresh.select(held["city"], number.alias("landing"), "n", "files")
+    fresh.coalesce(1).write.mode("append").parquet(f"{path}/{_MANIFEST}")
+    return landing_manifest(spark, path, latest=False).where(F.col("landing") == number)
+
+
+#: beside the folders of the cities; readers of the table pass over names with an underscore
+_MANIFEST = "_manifest"
+
+
+def landing_manifest(spark: SparkSession, path: str, latest: bool = True) -> DataFrame:
+    """``(city, landing, n, files)``: what ``land_again`` wrote for each city, and in which call.
+
+    ``latest`` gives the row that holds now, otherwise all. A row a city and landing.
+    """
+    schema = "city string, landing int, n long, files array<string>"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MANIFEST}")
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(f"{path}/{_MANIFEST}")
+    if not latest:
+        return rows
+    newest = rows.groupBy("city").agg(F.max_by(F.struct("landing", "n", "files"), "landing").alias("row"))
+    return newest.select("city", "row.*")
+
+
 def write_csv(
     records: DataFrame,
     path: str,
