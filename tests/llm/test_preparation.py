@@ -92,6 +92,7 @@ def public():
 @given(st.text(alphabet=st.sampled_from("ab's1 \n\té.! "), max_size=30))
 def test_encoder_equals_the_public_tokenizer_on_any_text(public, text):
     assert tokens.encoder(tokens.vocabulary()).ids(text).tolist() == public(text)
+    assert tokens.encoder(tokens.vocabulary()).whole(text).tolist() == public(text)
 
 
 def test_packing_is_a_round_trip(documents, public):
@@ -503,9 +504,15 @@ def test_pipeline_stages(spark, documents):
 
 
 def test_pipeline_on_awkward_documents(spark, documents):
-    docs = documents(AWKWARD).selectExpr("*", "1 as _row", "'x' as _text2")
+    # every helper column's name, with values that say whether their row kept them
+    names = ["_row", "_id", "_key", "_text", "_removed", "_lines", "_gone", "_size", "_source", "_target", "_hash", "key", "row", "times", "label", "votes", "h"]
+    own = [f"concat_ws(':', '{n}', doc_id, source) as `{n}`" for n in names]
+    docs = documents(AWKWARD).selectExpr("*", *own, "7 as `odd name`")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         after = written(stage(spark, docs, SF_DIR), "t")
         assert after.columns == docs.columns
+        for row in after.collect():
+            assert all(row[n] == ":".join(str(x) for x in (n, row.doc_id, row.source) if x is not None) for n in names)
+            assert row["odd name"] == 7
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() > 0

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.cluster import written
 
@@ -18,7 +19,11 @@ WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches: texts as Python objects take several times their size."""
+    """The same rows in small batches: texts as Python objects take several times their size.
+
+    Workers are reused by later tasks, so what an earlier one left free goes back to the system first.
+    """
+    pa.default_memory_pool().release_unused()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -88,6 +93,23 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+#: holds the columns an operator does not work on
+CARRIED = "carried columns"
+
+
+def carry(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` as the columns an operator works on and one of all others, whose names cannot clash with its helpers."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*(c for c in needed if c in docs.columns), (F.struct(*rest) if rest else F.lit(None).cast("string")).alias(CARRIED))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    kind = rows.schema[CARRIED].dataType
+    held = kind.fieldNames() if isinstance(kind, T.StructType) else []
+    return rows.select(*(F.col(f"`{CARRIED}`.`{c}`" if c in held else f"`{c}`") for c in docs.columns))
+
+
 def join_small(df: DataFrame, small: DataFrame, key: str, bound: int = 10_000) -> DataFrame:
     """Left join on one key, null keys included; ``small`` has a row per key.
 

@@ -103,7 +103,7 @@ _LENGTH = 2
 
 def _pack(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encode = TaskContext.get().partitionId(), encoder(path).ids
+        part, encode = TaskContext.get().partitionId(), encoder(path).whole
         bins, schema = _Bins(0, part, capacity), None
         for batch in sliced(batches):
             schema = schema or pa.schema([batch.schema.field("doc_id"), *_ARROW])

@@ -25,9 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.cluster import written
-from wayfare.llm.common import WORD_BYTES, sliced
+from wayfare.llm.common import WORD_BYTES, carry, sliced, unpacked
 
 #: lines of fewer words are left alone; lines of fewer than EDITED words go only for equal lines
 LEAST, EDITED = 4, 8
@@ -205,6 +206,7 @@ def _near(reps: DataFrame, plain: DataFrame) -> DataFrame:
     texts = plain.select("text").mapInArrow(_fetch(bitmap, BITMAP), "h long, words string")
     texts = texts.join(candidates, "h", "left_semi").groupBy("h").agg(F.min("words").alias("words"))
     texts = written(texts.join(reps.select("h", "pos"), "h"), "candidate-lines")
+    bitmap.destroy()
     kind = reps.schema["pos"].dataType.simpleString()
     # most variants belong to one line only: bare hashes are counted first, and rows that
     # say whose variant it is are made of those that lines share
@@ -213,6 +215,7 @@ def _near(reps: DataFrame, plain: DataFrame) -> DataFrame:
     variants = written(
         texts.mapInArrow(_variants(common, BITMAP), f"v long, i int, h long, pos {kind}"), "variants"
     )
+    common.destroy()
     cut, whole = variants.where("i >= 0"), variants.where("i < 0")
     # a substitution: of the lines that agree without their word i, the first is the witness
     first = cut.groupBy("v", "i").agg(F.min(F.struct("pos", "h")).alias("w"), F.count("*").alias("n")).where("n > 1")
@@ -256,9 +259,9 @@ def _rebuilt(docs: DataFrame) -> DataFrame:
     removed = _removed(docs)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_key"))
     rows = docs.withColumnRenamed("text", "_text").join(removed, same, "left").drop("_id", "_key")
-    rest = [c for c in rows.columns if c not in ("_text", "_removed")]
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
-    return rows.mapInArrow(_rebuild, f"{kinds}, _text string, _lines long, _gone long")
+    rest = [f for f in rows.schema if f.name not in ("_text", "_removed")]
+    told = T.StructType(rest).add("_text", T.StringType()).add("_lines", T.LongType()).add("_gone", T.LongType())
+    return rows.mapInArrow(_rebuild, told)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -277,5 +280,5 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with their repeated lines removed and ``n_chars`` counted anew; every row and column stays."""
-    out = _rebuilt(docs).withColumnRenamed("_text", "text")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    out = _rebuilt(carry(docs, "doc_id", "text", "n_chars")).withColumnRenamed("_text", "text").drop("_lines", "_gone")
+    return unpacked(out.withColumn("n_chars", F.length("text").cast("long")), docs)

@@ -18,8 +18,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wayfare.llm.common import WORD_BYTES, join_small, sliced, word_count
+from wayfare.llm.common import CARRIED, WORD_BYTES, carry, join_small, sliced, unpacked, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -208,10 +209,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     taken keeps its white space, ``n_chars`` is counted anew. Rows of which
     nothing is taken are left out; rows without words belong to no block and stay as they are.
     """
-    rows = _placed(docs)
+    narrow = carry(docs, "doc_id", "text", "source", "n_chars")
+    rows = _placed(narrow)
     taken = F.col("_times") * F.col("_size") + F.col("_head") + F.col("_tail")
-    names = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    work = rows.where(taken > 0).select(*names, "text", "_size", "_times", "_head", "_head_at", "_tail")
-    told = work.mapInArrow(_texts, f"{kinds}, text string, n_chars long").select(*docs.columns)
-    return told.unionByName(rows.where(F.col("_size") == 0).select(*docs.columns))
+    names = ["doc_id", "source", CARRIED]
+    work = rows.where(taken > 0).select(
+        *(F.col(f"`{c}`") for c in names), "text", "_size", "_times", "_head", "_head_at", "_tail"
+    )
+    schema = T.StructType([narrow.schema[c] for c in names]).add("text", T.StringType()).add("n_chars", T.LongType())
+    told = unpacked(work.mapInArrow(_texts, schema), docs)
+    return told.unionByName(unpacked(rows.where(F.col("_size") == 0), docs))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wayfare.cluster import written
 from wayfare.llm.common import id_remainder, sliced
+from wayfare.operators.joins import lookup_join
 
 FOLDS = 5
 #: lexicon voters; labelled rows that the lexicon is induced from
@@ -169,7 +170,8 @@ def _voted(lexicon: dict[str, int]):
         for batch in sliced(batches):
             votes = [votes_of(t, lexicon) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(votes, pa.list_(pa.int32()))], ["doc_id", "label", "votes"]
+                [batch.column("doc_id"), batch.column("key"), batch.column("label"), pa.array(votes, pa.list_(pa.int32()))],
+                ["doc_id", "key", "label", "votes"],
             )
 
     return run
@@ -270,11 +272,11 @@ def label_model(patterns: DataFrame, voters: Voters) -> tuple[np.ndarray, float]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the votes of all documents (``doc_id, label, votes``)."""
+    """The model, and the votes of all documents (``doc_id, key, label, votes``); ``key`` is the text's hash."""
     voters = induce(docs, labels)
-    marked = _labelled(docs.select("doc_id", "text"), labels).select("doc_id", "text", "label")
+    marked = _labelled(docs.select("doc_id", "text"), labels).select("doc_id", F.xxhash64("text").alias("key"), "text", "label")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    votes = written(marked.mapInArrow(_voted(voters.lexicon), f"doc_id {kind}, label int, votes array<int>"), "votes")
+    votes = written(marked.mapInArrow(_voted(voters.lexicon), f"doc_id {kind}, key long, label int, votes array<int>"), "votes")
     patterns = written(votes.groupBy("votes", "label").agg(F.count("*").alias("n")), "patterns")
     weights, bias = label_model(patterns, voters)
     if voters.labelled:
@@ -354,12 +356,23 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, reject: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``reject`` or more; all columns stay."""
-    model, _ = fit(docs, labels)
+    """``docs`` without the rows that score ``reject`` or more; all columns stay.
+
+    The votes of the fit are scored, no text is read a second time by Python. Rejected
+    are ids with the hash of their text (equal ids and texts have equal scores); their list is
+    measured, and broadcast only within the bounds of ``lookup_join``.
+    """
+    model, votes = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
-            votes = [votes_of(t, model.voters.lexicon) for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array(_score(votes, model.weights, model.bias) < reject))
+        for batch in batches:
+            score = _score(batch.column("votes").to_pylist(), model.weights, model.bias)
+            yield batch.select(["doc_id", "key"]).filter(pa.array(score >= reject))
 
-    return docs.mapInArrow(run, docs.schema)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rejected = votes.select("doc_id", "key", "votes").mapInArrow(run, f"doc_id {kind}, key long")
+    rejected = rejected.groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+    # the row itself stays whole in one column: its names cannot clash with the keys
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("key"))
+    told = lookup_join(rows, rejected, ["doc_id", "key"], weight="times")
+    return told.where("times is null").select("row.*")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.cluster import written
-from wayfare.llm.common import WORD_BYTES, components, sliced, tasks
+from wayfare.llm.common import CARRIED, WORD_BYTES, carry, components, sliced, tasks, unpacked
 
 SHINGLE, BITS, SEED = 4, 4, 42
 #: the bands of a fingerprint: 21, 21 and 22 bits
@@ -290,7 +290,5 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS)
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     order = Window.partitionBy("_id", "_key").orderBy("_key")
-    return (
-        docs.join(chosen, same).withColumn("_row", F.row_number().over(order)).where("_row = 1")
-        .select(*docs.columns)
-    )
+    rows = carry(docs, "doc_id", "text").join(chosen, same).withColumn("_row", F.row_number().over(order))
+    return unpacked(rows.where("_row = 1").select("doc_id", "text", f"`{CARRIED}`"), docs)
