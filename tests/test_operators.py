@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import html
 import math
 import random
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.ml.feature import StopWordsRemover, StringIndexer
 from pyspark.sql import functions as F
 
+from wayfare.functions import html as H
 from wayfare.functions.fixed import CATALOGUE, RATING_CODES, STOP_WORDS
 from wayfare.functions.text import stop_words, term_counts
 from wayfare.operators import balance, catalog, crawl, labels, profile, ranking, scores, split, tfidf
@@ -379,3 +381,24 @@ def test_profile_of_nothing_valid(spark):
     found = {r["metric"]: r["value"] for r in profile.corpus_profile(df).collect()}
     assert found["total_rows"] == 2 and found["longest_review"] == 3
     assert found["class_minimum"] == 0 and found["balanced_rows"] == 0
+
+
+REFERENCES = [
+    "&", "&amp;", "&amp", "&#", "&#x", "&#233;", "&#xE9", "&#0;", "&#128;", "&#129;", "&#xD800;", "&#99999999999999999999;", "&#x110000;",
+    "&#65534;", "&notit;", "&notin;", "&gtx", "&unknown;", "&#13;", "a b", "<;", "#", "é🙂", "&;", "&#0000065;", "&#x00041;", "&Aacute",
+    "&nGt;", "\n", "&lt;&gt;", "&#1114111;", "&#128512;", "&#x1F600;x", "&nbsp;", "lt;", "&quot;", "&amp;lt;", "&#39;", "&#x27;",
+]
+
+
+def test_references_are_read_as_the_standard_library_does(spark):
+    pick = random.Random(6)
+    names = list(html.entities.html5)
+    texts = [
+        "".join(pick.choice(REFERENCES) if pick.random() < 0.7 else "&" + pick.choice(names) for _ in range(pick.randint(0, 8)))
+        for _ in range(1500)
+    ]
+    texts += [f"&{n}" for n in names] + [f"&{n[:-1]}z" for n in names] + [f"&#{i};" for i in range(0, 70000, 61)]
+    texts += [f"&#x{i:x}" for i in range(0x10FF00, 0x110010)] + ["&amp;" * 3000 + "&eacute", "x" * 100_000]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").repartition(4)
+    rows = df.select("t", H.unescape(F.col("t")).alias("u")).collect()
+    assert [r.t for r in rows if r.u != (None if r.t is None else html.unescape(r.t))] == [] and len(rows) == len(texts) + 1

@@ -12,8 +12,6 @@ import compare
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 #: the queries on training data have tests of their own
 QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
-#: the only queries with a Python step: character references in extracted texts
-READS_ENTITIES = {"h2_heading", "h2_heading_by_id", "h4_records", "h5_info"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +24,7 @@ def test_query_equals_sql(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert ("EvalPython" in plan) == (name in READS_ENTITIES)
+    assert "EvalPython" not in plan and "InArrow" not in plan
     columns, rows = compare.spark_rows(result)
     expected_columns, expected = compare.duck_rows(duck, ORACLES[name])
     assert columns == expected_columns

@@ -1,34 +1,95 @@
 """Fields of review pages, found in the markup with JVM regular expressions.
 
 Each element is located by tag and class, so the order of attributes and the
-kind of quotes do not matter. Only the last step of reading text, turning
-character references into characters, has no built-in function; it is a small
-Arrow-batched helper that sees the extracted fields, never the whole page.
+kind of quotes do not matter. Character references are resolved in the JVM too.
 """
 
 from __future__ import annotations
 
 import html as entities
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+#: the named references of HTML, as the standard library has them: names end with a semicolon, but
+#: for some old ones that stand without
+_NAMED = entities.entities.html5
+_OLD = sorted((name for name in _NAMED if not name.endswith(";")), key=len, reverse=True)
+#: what follows an ampersand in a reference
+_REFERENCE = r"^(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[^\t\n\f <&#;]{1,32};?)"
+_LAST_CODE, _REPLACEMENT = 0x10FFFF, "\ufffd"
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference; codes that stand for none give nothing or the replacement character."""
+    # fixed rule: codes of the C1 controls mean the characters of the Windows code page, where it has them
+    windows = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+    nothing = (
+        code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
+        | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
+    wrong = code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > _LAST_CODE)
+    return (
+        F.when(wrong, _REPLACEMENT)
+        .when(nothing, "")
+        .when(code.between(0x80, 0x9F), F.substr(F.lit(windows), (code - 0x7F).cast("int"), F.lit(1)))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
 
-def unescape(text: Column) -> Column:
-    """Character references such as ``&amp;`` and ``&#233;`` to characters.
 
-    Only texts that hold an ampersand leave the JVM.
-    """
+#: references that texts are full of; the ampersand's own is resolved last, as it makes no others
+_COMMON = ["lt;", "gt;", "quot;", "nbsp;", "#x27;", "#39;", "amp;"]
+
+
+def _number(found: Column) -> Column:
+    """The code of a numeric reference; null for numbers beyond any code."""
+    digits = F.regexp_extract(found, r"^#[xX]?0*([0-9a-fA-F]+)", 1)
+    hexadecimal = F.lower(F.substr(found, F.lit(2), F.lit(1))) == "x"
+    return F.when(hexadecimal, F.when(F.length(digits) <= 8, F.conv(digits, 16, 10).cast("bigint"))).otherwise(
+        F.when(F.length(digits) <= 10, digits.try_cast("bigint"))
+    )
+
 
-    # a local function travels to the executors by value: they need no copy
-    # of this package
-    def resolve(texts: pd.Series) -> pd.Series:
-        return texts.map(entities.unescape, na_action="ignore")
+def _named(found: Column) -> Column:
+    """The characters of a named reference; null for an unknown name."""
+    names, values = " ".join(_NAMED), "\x01".join(_NAMED.values())
+    table = F.map_from_arrays(F.split(F.lit(names), " "), F.split(F.lit(values), "\x01"))
+    return F.try_element_at(table, found)
 
-    marked = F.when(F.contains(text, F.lit("&")), text)
-    return F.coalesce(F.pandas_udf(resolve, StringType())(marked), text)
+
+def _told(s: Column) -> Column:
+    """The characters of one read reference, and what follows it in the piece."""
+    rest = lambda length: F.substr(s["piece"], length + 1)
+    old = F.regexp_extract(s["found"], "^(?:" + "|".join(_OLD) + ")", 0)
+    return (
+        F.when(s["found"] == "", F.concat(F.lit("&"), s["piece"]))
+        .when(F.startswith(s["found"], F.lit("#")), F.concat(_character(s["code"]), rest(F.length(s["found"]))))
+        .when(s["value"].isNotNull(), F.concat(s["value"], rest(F.length(s["found"]))))
+        .otherwise(F.coalesce(F.concat(_named(F.nullif(old, F.lit(""))), rest(F.length(old))), F.concat(F.lit("&"), s["piece"])))
+    )
+
+
+def unescape(text: Column) -> Column:
+    """Character references such as ``&amp;`` and ``&#233;`` to characters, as browsers read them.
+
+    A text without an ampersand is left alone, and one that holds only the most common
+    references has them replaced. In others, what stands after each ampersand is read in steps, so
+    that every pattern is matched once.
+    """
+    plain = text
+    for name in _COMMON:
+        plain = F.replace(plain, F.lit(f"&{name}"), F.lit(entities.unescape(f"&{name}")))
+    others = F.lit("&(?!" + "|".join(_COMMON) + ")")
+    pieces = F.split(text, "&", -1)
+    after = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    found = F.transform(after, lambda p: F.struct(p.alias("piece"), F.regexp_extract(p, _REFERENCE, 0).alias("found")))
+    numeric = lambda s: F.startswith(s["found"], F.lit("#"))
+    read = F.transform(found, lambda s: F.struct(
+        s["piece"].alias("piece"), s["found"].alias("found"),
+        F.when(numeric(s), _number(s["found"])).alias("code"),
+        F.when(~numeric(s) & (s["found"] != ""), _named(s["found"])).alias("value")))
+    whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(read, _told), ""))
+    return F.when(~F.contains(text, F.lit("&")), text).when(~F.regexp_like(text, others), plain).otherwise(whole)
 
 
 # Repetitions are possessive: they are matched in a loop and never tried again, so

@@ -22,14 +22,17 @@ def review_terms(
 ) -> DataFrame:
     """``(keep..., term, tf)``: the terms of each review. No shuffle."""
     # the outer form spares the size check that would tokenise each text twice
-    pairs = reviews.select(*keep, F.inline_outer(term_counts(_words(words))))
-    return pairs.filter(F.col("term").isNotNull()).withColumn("tf", F.col("tf").cast("bigint"))
+    return _pairs(reviews.select(*keep, F.inline_outer(term_counts(_words(words)))))
+
+
+def _pairs(inlined: DataFrame) -> DataFrame:
+    return inlined.filter(F.col("term").isNotNull()).withColumn("tf", F.col("tf").cast("bigint"))
 
 
 def _weighed(
     pairs: DataFrame, reviews: DataFrame, group: Sequence[str], min_doc_freq: int
 ) -> DataFrame:
-    """``(group..., term, df, idf)`` of counted pairs, one row per review and term.
+    """``(group..., term, df, idf)`` of pairs, one row per review and term.
 
     Document frequencies are summed before the shuffle, so a term that occurs
     in every review costs one row per task.
@@ -65,11 +68,15 @@ def tfidf(
     """``(group..., review_id, term, tf, df, idf, tfidf)``.
 
     With ``group`` the inverse document frequencies are refitted inside each
-    group, the null group included. Texts are tokenised once, into a written table
-    of pairs that both sides of the join read. Frequent words make this join
-    skewed by nature; see ``lookup_join``.
+    group, the null group included. Texts are tokenised once, into a written table of
+    a row a review with its terms in an array, which is smaller than the texts; pairs
+    exist only while they are counted and while they are weighed. Frequent words make
+    the join skewed by nature; see ``lookup_join``.
     """
-    pairs = written(review_terms(reviews, [*group, "review_id"], words), "term-pairs")
-    weights = _weighed(pairs, reviews, group, min_doc_freq)
+    keep = list(dict.fromkeys([*group, "review_id"]))
+    counted = written(reviews.select(*keep, term_counts(_words(words)).alias("terms")), "review-terms")
+    single = counted.select(*group, F.explode("terms.term").alias("term"))
+    weights = _weighed(single, reviews, group, min_doc_freq)
+    pairs = _pairs(counted.select(*keep, F.inline("terms")))
     joined = lookup_join(pairs, weights, [*group, "term"], "inner", weight="df", deal=["review_id"])
     return joined.withColumn("tfidf", F.col("tf") * F.col("idf"))
