@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -57,6 +58,21 @@ def clear_scratch(spark: SparkSession) -> None:
     remove_path(spark, scratch_root(spark))
 
 
+def ship(spark: SparkSession) -> str:
+    """Send this package to the executors, whose Python workers import it by name; returns the archive's path.
+
+    Needed where the package is not installed on them (``pip install`` or
+    ``spark-submit --py-files`` do as well). Once a session, before the first query with a Python
+    step. The driver serves the archive while the session lasts, so it stays until Python ends.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    place = tempfile.mkdtemp(prefix="wayfare-package-")
+    atexit.register(shutil.rmtree, place, ignore_errors=True)
+    archive = shutil.make_archive(f"{place}/{os.path.basename(package)}", "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the checkpoint folder and cut its lineage."""
     checkpoint_folder(df.sparkSession)
