@@ -69,6 +69,9 @@ def rice_decode(data: bytes) -> np.ndarray:
     return np.uint64(first) + np.concatenate([np.zeros(1, np.uint64), np.cumsum(gaps, dtype=np.uint64)])
 
 
+#: bits of the bitmap of suspects
+BITMAP = 1 << 24
+
 _ROW = pa.schema(
     [("sha", pa.binary()), ("part", pa.int32()), ("row", pa.int64()), ("owner", pa.int32()), ("codes", pa.binary()), ("bits", pa.binary())]
 )
@@ -149,6 +152,22 @@ def _marked(digests: pa.Table, answers: pa.Table) -> pa.Table:
     return digests.filter(pa.array(hit)).select(["doc_id", "sha", "part", "row"])
 
 
+def _possible(named: DataFrame, suspects: DataFrame) -> DataFrame:
+    """The rows of ``named`` whose digest may be a suspect's: others leave before any text is shuffled.
+
+    A bitmap of the suspects' hashes, as a table of words of 64 bits: at most ``BITMAP / 64`` rows
+    however many suspects there are, so its broadcast is bounded. What it lets
+    through by chance is joined away, so it decides nothing.
+    """
+    spot = lambda sha: F.pmod(F.xxhash64(sha), F.lit(BITMAP))
+    bit = F.expr("shiftleft(1L, cast(_spot % 64 as int))")
+    words = suspects.select(spot("_sha").alias("_spot")).select(F.floor(F.col("_spot") / 64).alias("_word"), bit.alias("_bit"))
+    words = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    spotted = named.withColumn("_spot", spot("sha")).withColumn("_at", F.floor(F.col("_spot") / 64))
+    met = spotted.join(F.broadcast(words), F.col("_at") == F.col("_word"))
+    return met.where(F.col("_bits").bitwiseAND(bit) != 0).select(*named.columns)
+
+
 def exact_groups(docs: DataFrame) -> DataFrame:
     """One row per document with the class of its text, equal up to the case of A-Z.
 
@@ -170,16 +189,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     digests = scanned.where("owner is null").select("doc_id", "sha", "part", "row")
     sent = scanned.where("owner is not null").select("owner", "part", "codes", "bits")
     answers = sent.repartition(owners, "owner").mapInArrow(_answer, _MESSAGE_SQL)
-    suspects = (
+    suspects = written(
         digests.groupBy("part").cogroup(answers.groupBy("part"))
         .applyInArrow(_marked, f"doc_id {kind}, sha binary, part int, row long")
         .groupBy("doc_id", "sha").agg(F.min(F.struct("part", "row")).alias("at"))
-        .select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "at")
+        .select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "at"),
+        "suspects",
     )
     # byte verification: the suspects' texts themselves are the grouping key
     named = plain.select(
         "doc_id", lower_ascii(F.coalesce(F.col("text"), F.lit(""))).alias("text")
     ).withColumn("sha", F.unhex(F.sha2("text", 256)))
+    named = _possible(named, suspects)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
     groups = (
         named.join(suspects, same).groupBy("sha", "text")
