@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -268,3 +269,18 @@ def test_empty_documents(spark, operator):
 
 def test_empty_vectors(spark):
     assert nndescent.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_rare_links_are_found(spark):
+    """60 pairs among 30,000 random vectors: queries meet none of them, new trees tell what is missing."""
+    rng = np.random.default_rng(17)
+    x = rng.normal(size=(30_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(60):
+        side = rng.normal(size=64)
+        side -= (side @ x[2 * i]) * x[2 * i]
+        x[2 * i + 1] = 0.92 * x[2 * i] + math.sqrt(1 - 0.92**2) * side / np.linalg.norm(side)
+    table = pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float64()))})
+    rows = nndescent.near_vectors(spark.createDataFrame(table)).collect()
+    found = sum(r.n_links for r in rows)
+    assert found >= 0.98 * 120 and sum(r.n_links for r in rows if r.vec_id >= 120) == 0

@@ -6,7 +6,10 @@ its neighbours and of those that have it as a neighbour meet, and pairs that are
 to each other are offered to both. A point whose list is full of
 neighbours above the threshold gets a longer list. Rounds end when no link is
 added and an audit, a bounded set of query points compared with all
-points, finds the recall reached; else further trees are added.
+points, finds the recall reached; else further trees are added. Where links are so
+rare that the queries meet few, the audit is by recapture: the share of the links
+found by new trees alone that the graph holds already. A graph that stays below the
+target is returned with a warning.
 
 Groups so dense that they show in a bounded sample need no lists: all vectors
 within half the linking angle of a leader are linked with each other, so such a
@@ -17,6 +20,7 @@ members block by block. Equal vectors are one point with a weight.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +36,8 @@ COSINE = 0.9
 NEIGHBOURS, TREES, LEAF = 8, 4, 128
 #: bounded samples: for the trees and the leaders, and queries of an audit
 SAMPLE, AUDITED = 4096, 256
+#: an audit that met fewer links than this proves nothing: new trees recapture links instead
+SEEN = 100
 #: sample points that make a ball; balls at most (both bound what is broadcast)
 DENSE, BALLS = 8, 256
 RECALL, ROUNDS = 0.98, 12
@@ -253,8 +259,8 @@ def _flat(graph: DataFrame) -> DataFrame:
     return graph.select("pid", F.explode("list").alias("n")).select("pid", "n.nbr", "n.sim", "n.fresh")
 
 
-def _refined(graph: DataFrame, points: DataFrame, cosine: float) -> DataFrame:
-    """One neighbours-of-neighbours join: the offers it makes."""
+def _refined(graph: DataFrame, points: DataFrame, cosine: float, turn: int = 0) -> DataFrame:
+    """One neighbours-of-neighbours join: the offers it makes. Large meetings are seated anew each turn."""
     edges = _flat(graph).select(F.col("pid").alias("centre"), F.col("nbr").alias("pid"), "fresh")
     both = edges.unionByName(edges.select(F.col("pid").alias("centre"), F.col("centre").alias("pid"), "fresh"))
     met = both.groupBy("centre", "pid").agg(F.max("fresh").alias("fresh"))
@@ -262,17 +268,17 @@ def _refined(graph: DataFrame, points: DataFrame, cosine: float) -> DataFrame:
     known = points.select("pid", "v").join(graph.select("pid", "floor"), "pid", "left")
     seated = (
         met.join(stirred.select("centre", "n"), "centre").join(known, "pid")
-        .withColumn("seat", F.pmod(F.xxhash64("pid"), F.ceil(F.col("n") / MEETING)))
+        .withColumn("seat", F.pmod(F.xxhash64("pid", F.lit(turn)), F.ceil(F.col("n") / MEETING)))
         .select("centre", "seat", "pid", "fresh", F.coalesce("floor", F.lit(-1.0).cast("float")).alias("floor"), "v")
     )
     return seated.groupBy("centre", "seat").applyInArrow(_meeting(cosine), "pid long, nbr long, sim float")
 
 
-def _recall(graph: DataFrame, points: DataFrame, cosine: float, seed: int) -> float:
-    """Share of the true links of a bounded set of query points that the graph holds."""
+def _recall(graph: DataFrame, points: DataFrame, cosine: float, seed: int) -> tuple[float, int]:
+    """Share of the true links of a bounded set of query points that the graph holds, and their number."""
     asked = points.orderBy(F.xxhash64("pid", F.lit(seed))).limit(AUDITED).select("pid", "v").collect()
     if not asked:
-        return 1.0
+        return 1.0, 0
     ids = np.array([r["pid"] for r in asked])
     vectors = np.stack([np.frombuffer(r["v"], "<f4") for r in asked])
 
@@ -289,7 +295,20 @@ def _recall(graph: DataFrame, points: DataFrame, cosine: float, seed: int) -> fl
     found = (
         _flat(graph.join(F.broadcast(queries), "pid", "left_semi")).where(F.col("sim") >= cosine).count()
     )
-    return found / true if true else 1.0
+    return (found / true if true else 1.0), true
+
+
+def _recaptured(offers: DataFrame, graph: DataFrame, cosine: float) -> float:
+    """Share of the links that new trees find by themselves which the graph holds already.
+
+    Where links are too rare for queries to meet them, this tells how many are missing: trees
+    drawn afresh find known and unknown links alike.
+    """
+    pair = [F.least("pid", "nbr").alias("a"), F.greatest("pid", "nbr").alias("b")]
+    caught = offers.where(F.col("sim") >= cosine).select(*pair).distinct()
+    held = _flat(graph).where(F.col("sim") >= cosine).select(*pair).distinct().withColumn("held", F.lit(True))
+    n, known = caught.join(held, ["a", "b"], "left").agg(F.count("*"), F.count("held")).first()
+    return known / n if n else 1.0
 
 
 def _graph(points: DataFrame, cosine: float, recall: float) -> DataFrame:
@@ -313,21 +332,27 @@ def _graph(points: DataFrame, cosine: float, recall: float) -> DataFrame:
         return offers.withColumn("fresh", F.lit(True))
 
     graph = written(_merged(planted(0, TREES), cosine), "graph")
-    links, trees = graph.agg(F.sum("links")).first()[0], TREES
+    links, trees, share = graph.agg(F.sum("links")).first()[0], TREES, 0.0
     for turn in range(ROUNDS):
-        offers = _refined(graph, points, cosine).withColumn("fresh", F.lit(True))
+        offers = _refined(graph, points, cosine, turn).withColumn("fresh", F.lit(True))
         old = _flat(graph).withColumn("fresh", F.lit(False))
         graph = written(_merged(old.unionByName(offers), cosine), "graph")
         now = graph.agg(F.sum("links")).first()[0]
         if now - links <= 0.001 * now:
-            if _recall(graph, points, cosine, turn) >= recall:
-                break
-            offers = planted(trees, TREES)
+            share, seen = _recall(graph, points, cosine, turn)
+            if seen >= SEEN and share >= recall:
+                return graph
+            offers = written(planted(trees, TREES), "offers")
             trees += TREES
+            if seen < SEEN:
+                share = _recaptured(offers, graph, cosine)
             old = _flat(graph).withColumn("fresh", F.lit(False))
             graph = written(_merged(old.unionByName(offers), cosine), "graph")
+            if seen < SEEN and share >= recall:
+                return graph
             now = graph.agg(F.sum("links")).first()[0]
         links = now
+    warnings.warn(f"the neighbour graph holds about {share:.3f} of the links, below {recall}; raise ROUNDS", stacklevel=2)
     return graph
 
 
@@ -355,8 +380,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
     lengths never link. Equal vectors, repeated rows included, link with each other as other
     rows; a null id takes part but names no component unless all are null. An empty table gives
     no rows; other columns are not read. Links are found by an approximate
-    search whose audited recall is at least ``recall`` (or ``ROUNDS`` are used
-    up) and verified in double precision; links within dense balls are exact.
+    search whose audited recall is at least ``recall`` (a warning says so if ``ROUNDS`` are used
+    up first) and verified in double precision; links within dense balls are exact.
     """
     plain = vectors.select("vec_id", "embedding")
     kind = plain.schema["vec_id"].dataType.simpleString()
