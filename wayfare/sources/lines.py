@@ -117,12 +117,14 @@ def one_line(text: Column) -> Column:
 def _without_bars(field: Column) -> Column:
     """Bars that touch another bar or an end of the field, written so that no field can end there."""
     marked = F.replace(field, F.lit(_MARK), F.lit(_MARKED))
-    return F.regexp_replace(marked, r"(?<=\|)\||\|(?=\|)|^\||\|$", _BAR)
+    written = F.regexp_replace(marked, r"(?<=\|)\||\|(?=\|)|^\||\|$", _BAR)
+    return F.when(F.contains(field, F.lit("|")) | F.contains(field, F.lit(_MARK)), written).otherwise(field)
 
 
 def _with_bars(field: Column) -> Column:
     """The inverse of ``_without_bars``."""
-    return F.replace(F.replace(field, F.lit(_BAR), F.lit("|")), F.lit(_MARKED), F.lit(_MARK))
+    read = F.replace(F.replace(field, F.lit(_BAR), F.lit("|")), F.lit(_MARKED), F.lit(_MARK))
+    return F.when(F.contains(field, F.lit("&#")), read).otherwise(field)
 
 
 def review_line(fields: Sequence[str] = REVIEW_FIELDS) -> Column:
