@@ -236,3 +236,16 @@ def test_whole_reviews_in_sql(spark):
     best = dict(duck.execute(f"with {_MARGINS} select review_id, arg_max(label, m) from margin group by review_id").fetchall())
     predicted = {r.review_id: int(r.prediction) for r in model.predict(held).collect()}
     assert best == {i: predicted[i] for i in best} and len(best) > 300
+
+
+def test_apply_model_gives_the_prediction_of_each_whole_review(spark):
+    """The rows carry what the model says of the whole texts, class and certainty, not only that it agrees with itself."""
+    sf_dir = "/root/testdata/sf0.001"
+    reviews = V.reviews(spark, sf_dir)
+    model = M.fit(M.training_parts(reviews, Q.HELD_OUT)[0])
+    told = model.predict(of_city(reviews, Q.HELD_OUT)).collect()
+    rows = Q.QUERIES["m4_apply_model"](spark, sf_dir).collect()
+    got = {r.review_id: (r.prediction, r.sure) for r in rows}
+    assert len(rows) == len(got) == len(told) and all(r.is_best for r in rows)
+    assert got == {r.review_id: (r.prediction, max(r.probability) > 0.5) for r in told}
+    assert len({p for p, _ in got.values()}) > 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1380,21 +1381,28 @@ def m3_model(spark, sf_dir):
     )
 
 
-@query(
-    "m4_apply_model",
-    f"select review_id, true as is_best from reviews where city = '{HELD_OUT}'",
-    "reviews",
-)
+@query("m4_apply_model")
 def m4_apply_model(spark, sf_dir):
-    """Predictions on whole reviews are the classes whose published coefficients weigh the features most."""
+    """The predicted class of every whole held-out review, and whether the published coefficients weigh it most."""
     reviews = V.reviews(spark, sf_dir)
     train, _ = M.training_parts(reviews, HELD_OUT)
     fitted, held_out = M.fit(train), T.of_city(reviews, HELD_OUT)
     margins = M.class_margins(fitted, fitted.text.transform(held_out).select("review_id", "features"), "review_id")
     best = margins.groupBy("review_id").agg(F.max("margin").alias("top"))
-    own = margins.join(fitted.predict(held_out).select("review_id", "prediction"), "review_id")
+    sure = F.array_max(vector_to_array("probability")) > 0.5
+    own = margins.join(fitted.predict(held_out).select("review_id", "prediction", sure.alias("sure")), "review_id")
     own = own.where(F.col("label") == F.col("prediction")).join(best, "review_id")
-    return own.select("review_id", (F.col("margin") >= F.col("top") - 1e-9).alias("is_best"))
+    return own.select("review_id", "prediction", "sure", (F.col("margin") >= F.col("top") - 1e-9).alias("is_best"))
+
+
+@query(
+    "m4_best_class",
+    f"select review_id, true as is_best from reviews where city = '{HELD_OUT}'",
+    "reviews",
+)
+def m4_best_class(spark, sf_dir):
+    """What SQL can say of the predictions: every held-out review has one, and it is the class weighed most."""
+    return m4_apply_model(spark, sf_dir).select("review_id", "is_best")
 
 
 @query(
