@@ -249,3 +249,13 @@ def test_apply_model_gives_the_prediction_of_each_whole_review(spark):
     assert len(rows) == len(got) == len(told) and all(r.is_best for r in rows)
     assert got == {r.review_id: (r.prediction, max(r.probability) > 0.5) for r in told}
     assert len({p for p, _ in got.values()}) > 1
+
+
+def test_decoded_predictions_are_counted_over_all_whole_reviews(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    reviews = V.reviews(spark, sf_dir)
+    model = M.fit(M.training_parts(reviews, Q.HELD_OUT)[0])
+    expected = collections.Counter((r.city, r.prediction, r.predicted_rating) for r in model.predict(reviews).collect())
+    rows = Q.QUERIES["m5_decode_prediction"](spark, sf_dir).collect()
+    assert {(r.city, r.prediction, r.predicted_rating): r.n for r in rows} == expected
+    assert sum(r.n for r in rows) == reviews.count()

@@ -1423,16 +1423,23 @@ def m4_saved_model(spark, sf_dir):
     return before.join(after, "review_id").select("review_id", same.alias("same"))
 
 
+@query("m5_decode_prediction")
+def m5_decode_prediction(spark, sf_dir):
+    """What the predictions on all whole reviews stand for, and how many of each a city has."""
+    reviews = V.reviews(spark, sf_dir)
+    train, _ = M.training_parts(reviews, HELD_OUT)
+    predicted = M.fit(train).predict(reviews)
+    return predicted.groupBy("city", "prediction", "predicted_rating").agg(F.count("*").alias("n"))
+
+
 @query(
-    "m5_decode_prediction",
+    "m5_label_codes",
     "select cast(label as double) as prediction, rating as predicted_rating from training_labels",
     "training_labels",
 )
-def m5_decode_prediction(spark, sf_dir):
-    """What the predictions on all whole reviews stand for."""
-    reviews = V.reviews(spark, sf_dir)
-    train, _ = M.training_parts(reviews, HELD_OUT)
-    return M.fit(train).predict(reviews).select("prediction", "predicted_rating").distinct()
+def m5_label_codes(spark, sf_dir):
+    """What SQL can say of the decoded predictions: which label stands for which rating."""
+    return m5_decode_prediction(spark, sf_dir).select("prediction", "predicted_rating").distinct()
 
 
 @query("m6_rank_city", f"select city, attraction, n, score, rank from ranked where city = '{HELD_OUT}'", "ranked")
