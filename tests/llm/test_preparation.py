@@ -344,6 +344,24 @@ def test_classifier_learns_from_unlabelled_documents(spark, documents):
     assert abs(off) < 0.05
 
 
+def test_few_of_many_correlated_words_are_toxic_enough(spark, documents):
+    """Words that toxic documents hold together discount each other, and still two of them must reach the threshold."""
+    rng = random.Random(9)
+    insults = [f"rude{chr(97 + i)}" for i in range(24)]
+    docs, toxic = [], {}
+    for i in range(3000):
+        words = [f"w{rng.randrange(300)}" for _ in range(40)]
+        toxic[i] = int(rng.random() < 0.1)
+        for word in rng.sample(insults, rng.choice([2, 12])) if toxic[i] else []:
+            words[rng.randrange(len(words))] = word
+        docs.append((i, " ".join(words)))
+    known = spark.createDataFrame([(i, t) for i, t in toxic.items() if i % 5 < 2], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score_documents(documents(docs), known).collect()}
+    caught = [got[i] for i, t in toxic.items() if t]
+    assert sum(caught) > 0.98 * len(caught)
+    assert sum(got[i] for i, t in toxic.items() if not t) < 0.01 * len(docs)
+
+
 AWKWARD_LATER = [(None if d is None else 5000 + d, t) for d, t in AWKWARD]
 
 

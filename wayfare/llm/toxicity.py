@@ -7,7 +7,8 @@ look at shouting, exclamation, flooding and address. The label model knows for
 each voter how often it fires in toxic and in clean documents and how voters
 depend on each other within a class; EM over the vote patterns of all
 documents estimates both, with the labels of the training part held fixed.
-A voter's evidence is divided by what its correlated fellows repeat of it. A
+A voter's evidence is divided by what its correlated fellows repeat of it, and its
+sum is brought to the scale that fits the labels. A
 logistic classifier on the votes is then trained on the posterior labels of all
 documents: the label itself where the training part has one, else what the label
 model infers from the votes.
@@ -35,6 +36,8 @@ LEXICON, LABELLED = 256, 200_000
 #: letters of a word beginning, and least length of a word that has one
 STEM, STEMMED = 5, 7
 ROUNDS = 4
+#: log-odds are told apart by this step when they are held against the labels
+STEP = 0.05
 
 #: common insults, fixed values; one voter together
 INSULTS = frozenset(
@@ -243,6 +246,48 @@ def _summed(patterns: DataFrame, weights: np.ndarray, bias: float) -> tuple[np.n
     return docs, sums
 
 
+def _binned(weights: np.ndarray, bias: float):
+    """Labelled vote patterns -> (bin, toxic, clean): documents by their log-odds, in steps of ``STEP``."""
+    width = len(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = _matrix(batch.column("votes").to_pylist(), width) @ weights + bias
+            toxic, n = batch.column("label").to_numpy(zero_copy_only=False), batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.rint(np.clip(z, -30, 30) / STEP).astype(np.int32)), pa.array(np.where(toxic > 0, n, 0)), pa.array(np.where(toxic > 0, 0, n))],
+                ["bin", "toxic", "clean"],
+            )
+
+    return run
+
+
+def _calibrated(patterns: DataFrame, weights: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
+    """The same evidence, stretched and moved so that its log-odds fit the labels (Platt scaling).
+
+    Voters that share one cause are discounted by their correlation, which keeps their order but
+    not their scale. What comes back is a row per step of the log-odds at most, whatever the number of documents.
+    """
+    labelled = patterns.where("label is not null").mapInArrow(_binned(weights, bias), "bin int, toxic long, clean long")
+    rows = labelled.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect()
+    x = np.array([(r["bin"] * STEP, 1.0) for r in rows]).reshape(-1, 2)
+    toxic, clean = (np.array([r[n] for r in rows], float) for n in ("toxic", "clean"))
+    if not toxic.sum() or not clean.sum():
+        return weights, bias
+    # targets short of 0 and 1 keep the scale finite where the classes don't overlap
+    target = toxic * (toxic.sum() + 1) / (toxic.sum() + 2) + clean / (clean.sum() + 2)
+    line, n = np.array([1.0, 0.0]), toxic + clean
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ line, -30, 30)))
+        step = np.linalg.solve(x.T @ (x * (n * p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (n * p - target))
+        line = line - np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    if line[0] <= 0:
+        return weights, bias
+    return line[0] * weights, float(line[0] * bias + line[1])
+
+
 def label_model(patterns: DataFrame, voters: Voters) -> tuple[np.ndarray, float]:
     """Evidence of each voter and the bias, by EM over the vote patterns (``votes, label, n``) of all documents.
 
@@ -250,11 +295,15 @@ def label_model(patterns: DataFrame, voters: Voters) -> tuple[np.ndarray, float]
     back is one number a voter, or pair of voters, whatever the number of documents.
     """
     rates, prior, overlap = voters.rates, voters.prior, np.ones(len(voters.rates))
-    # without a label, EM would find some two classes, not these two
-    for _ in range(ROUNDS if voters.labelled else 0):
+
+    def evidence() -> tuple[np.ndarray, float]:
         weights, silence = _evidence(rates, overlap)
         bias = float(np.log(prior / (1 - prior))) + silence
-        docs, sums = _summed(patterns, weights, bias)
+        return _calibrated(patterns, weights, bias) if voters.labelled else (weights, bias)
+
+    # without a label, EM would find some two classes, not these two
+    for _ in range(ROUNDS if voters.labelled else 0):
+        docs, sums = _summed(patterns, *evidence())
         fired = np.stack([np.diag(s) for s in sums])
         rates = ((fired + 0.5) / (docs[:, None] + 1)).T
         prior = float((docs[0] + 0.5) / (docs.sum() + 1))
@@ -267,8 +316,7 @@ def label_model(patterns: DataFrame, voters: Voters) -> tuple[np.ndarray, float]
         np.fill_diagonal(corr, 0)
         corr[corr < 0.05] = 0
         overlap = 1 + corr.sum(axis=1)
-    weights, silence = _evidence(rates, overlap)
-    return weights, float(np.log(prior / (1 - prior))) + silence
+    return evidence()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
