@@ -402,3 +402,18 @@ def test_references_are_read_as_the_standard_library_does(spark):
     df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").repartition(4)
     rows = df.select("t", H.unescape(F.col("t")).alias("u")).collect()
     assert [r.t for r in rows if r.u != (None if r.t is None else html.unescape(r.t))] == [] and len(rows) == len(texts) + 1
+
+
+def test_a_page_is_stripped_of_comments_once(spark):
+    """However often a field is named while its references are resolved, the plan reads the page once a step."""
+    html = (
+        "<!-- <h1 id=HEADING>no</h1> --><h1 id='HEADING'>A &amp; <b>B</b></h1><script><h1>no</h1></script><span class=overallRating>4.5</span>"
+        "<div id='taplc_location_detail_about_card_0'><div><div><div>About</div><div><span>C &eacute;</span></div></div></div></div>"
+    )
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id int, html string")
+    for read, steps in ((crawl.attraction_info(pages), 1), (crawl.headings(pages, element_id="HEADING"), 3)):
+        plan = read._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(script|style)") <= steps
+    got = {r.page_id: (r.title, float(r.rating) if r.rating is not None else None, r.about) for r in crawl.attraction_info(pages).collect()}
+    assert got[1] == ("A & B", 4.5, "C é") and set(got) == {1, 2, 3}
+    assert {r.page_id: r.heading for r in crawl.headings(pages, element_id="HEADING").collect()}[1] == "A & B"

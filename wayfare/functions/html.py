@@ -166,8 +166,13 @@ def review_count_text(html: Column) -> Column:
 
 def heading(html: Column, element_id: str | None = None) -> Column:
     """Markup inside the first ``h1``, or inside the one with the given id."""
+    return heading_of(without_comments(html), element_id)
+
+
+def heading_of(page: Column, element_id: str | None = None) -> Column:
+    """The same on a page whose comments are gone."""
     wanted = "" if element_id is None else rf"""{_before('id')}(?:"{element_id}"|'{element_id}'|{element_id}(?=[\s>]))"""
-    return _first(without_comments(html), rf"""<h1(?=[\s>]){wanted}{_REST}({_until('h1')})</h1\s*+>""")
+    return _first(page, rf"""<h1(?=[\s>]){wanted}{_REST}({_until('h1')})</h1\s*+>""")
 
 
 def review_ids(html: Column) -> Column:
@@ -220,13 +225,18 @@ def block_date(block: Column) -> Column:
     return _attribute(tag, "span", "title")
 
 
-def overall_rating(html: Column) -> Column:
-    return _first(without_comments(html), _open_tag("[a-z]++", "overallRating") + r"([^<]*+)</")
+def overall_rating_of(page: Column) -> Column:
+    """The overall rating of a page whose comments are gone."""
+    return _first(page, _open_tag("[a-z]++", "overallRating") + r"([^<]*+)</")
 
 
-def about_text(html: Column) -> Column:
-    """Markup of the first span of the second part of the about card."""
+def about_card_of(page: Column) -> Column:
+    """A page whose comments are gone, from behind the opening of its about card."""
     mark = "taplc_location_detail_about_card_0"
-    card = _first(without_comments(html), rf"""<[a-z]++{_before('id')}["']?+{mark}["']?+(?=[\s>]){_REST}(.*+)""")
+    return _first(page, rf"""<[a-z]++{_before('id')}["']?+{mark}["']?+(?=[\s>]){_REST}(.*+)""")
+
+
+def about_text_of(card: Column) -> Column:
+    """Markup of the first span of the second part of the about card."""
     div = rf"\s*+<div\b{_REST}"
     return _first(card, rf"""^{div}{div}{div}{_until("div")}</div\s*+>{div}\s*+<span\b{_REST}({_until("span")})</span\s*+>""")

@@ -28,7 +28,9 @@ def review_counts(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataF
 def headings(
     pages: DataFrame, keep: Sequence[str] = ("page_id",), element_id: str | None = None
 ) -> DataFrame:
-    return pages.select(*keep, H.inner_text(H.heading(F.col("html"), element_id)).alias("heading"))
+    # the markup is a column of its own: resolving its references names it many times, and each would read the page again
+    found = pages.select(*keep, H.heading(F.col("html"), element_id).alias("_heading"))
+    return found.select(*keep, H.inner_text(F.col("_heading")).alias("heading"))
 
 
 def listed_reviews(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -55,13 +57,25 @@ def review_records(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> Data
 
 
 def attraction_info(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Title, overall rating and description of an attraction's page."""
-    page = F.col("html")
-    return pages.select(
+    """Title, overall rating and description of an attraction's page.
+
+    Page, about card and markup are columns of their own, each made once: later steps name
+    them many times, and would else read the whole page again for each.
+    """
+    page, card = F.col("_page"), F.col("_card")
+    bare = pages.select(*keep, H.without_comments(F.col("html")).alias("_page"))
+    cut = bare.select(
+        *keep,
+        H.heading_of(page, "HEADING").alias("_title"),
+        H.overall_rating_of(page).alias("_rating"),
+        H.about_card_of(page).alias("_card"),
+    )
+    found = cut.select(*keep, "_title", "_rating", H.about_text_of(card).alias("_about"))
+    return found.select(
         *keep,
-        H.inner_text(H.heading(page, "HEADING")).alias("title"),
-        decimal(H.overall_rating(page)).alias("rating"),
-        H.inner_text(H.about_text(page)).alias("about"),
+        H.inner_text(F.col("_title")).alias("title"),
+        decimal(F.col("_rating")).alias("rating"),
+        H.inner_text(F.col("_about")).alias("about"),
     )
 
 
