@@ -431,6 +431,51 @@ def test_scores_equal_brute_force_counts_and_are_probabilities(spark, documents)
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def test_a_task_encodes_each_word_once_and_texts_keep_their_ids(monkeypatch):
+    path, rng = tokens.vocabulary(scoring.VOCABULARY), random.Random(3)
+    whole, encoded = tokens.encoder(path).whole, []
+    monkeypatch.setattr(tokens.encoder(path), "whole", lambda text: (encoded.append(len(text)), whole(text))[1], raising=False)
+
+    def gathered(texts):
+        encoded.clear()
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+        found = pa.concat_tables(pa.Table.from_batches([b]) for b in scoring._gather(path)(iter([batch]))).to_pylist()
+        ids, words, pairs, want_words, want_pairs = [], Counter(), Counter(), Counter(), Counter()
+        for r in found:
+            if r["kind"] == scoring._TEXT:
+                ids.append(np.frombuffer(r["ids"], "<u2").tolist())
+            else:
+                (words if r["kind"] == scoring._WORD else pairs)[r["word"] or (r["a"], r["b"])] += r["n"]
+        for doc, (text, own) in enumerate(zip(texts, ids, strict=True)):
+            parts = WORD_BYTES.findall((text or "").encode().lower())
+            want = whole("".join(" " + w.decode() for w in parts)).tolist() if parts else []
+            assert own == [*want, scoring.END]
+            if not scoring.held_out(doc):
+                want_words.update(parts)
+                want_pairs.update(zip([scoring.END, *own], own))
+        assert (words, pairs) == (want_words, want_pairs)
+
+    gathered(["repeated words are encoded once " * 50] * 600)
+    assert sum(encoded) < 100
+    # white space that is not ASCII may join words: it is inside them here, at their ends, or alone
+    odd = ["a", "b.", "it's", "12", "\u00e9", "\u0301", "\u65e5\u672c", "\x1c", " ", " ", " ", "\t", "\n", "\u00a0", "\u2003", "\x85"]
+    gathered([None, "", " "] + ["".join(rng.choices(odd, k=rng.randrange(30))) for _ in range(400)])
+
+
+def test_weights_out_of_range_still_give_gradients():
+    rng, weights, follow = small_model(4)
+    x = rng.integers(0, 20, (2, attention.WINDOW))
+    before, y, real = rng.integers(0, 6, x.shape), rng.integers(0, 6, x.shape), np.ones(x.shape, bool)
+    plain = attention._gradients(weights, follow, x, before, y, real, bound=False)
+    bounded = attention._gradients(weights, follow, x, before, y, real, bound=True)
+    assert plain[1] == pytest.approx(bounded[1], rel=1e-5)
+    assert all(np.allclose(plain[0][n], bounded[0][n], atol=1e-6) for n in weights)
+    for sign in (1, -1):  # sums that run over, and sums of nothing
+        assert attention._gradients(weights, follow + np.float32(200 * sign), x, before, y, real, bound=False) is None
+        found, loss = attention.gradients(weights, follow + np.float32(200 * sign), x, before, y, real)
+        assert loss == pytest.approx(bounded[1], rel=1e-4) and all(np.allclose(found[n], bounded[0][n], atol=1e-4) for n in weights)
+
+
 def test_windows_of_training_tile_every_training_document(spark, documents):
     texts = [np.append(np.arange(n) % 40_000, scoring.END).astype("<u2") for n in (0, 5, 31, 32, 33, 64 * 32 - 1, 5000)]
     batch = pa.RecordBatch.from_arrays(

@@ -29,6 +29,12 @@ def initial(inputs: int, classes: int, seed: int = 5) -> dict[str, np.ndarray]:
 _MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 _LATER = np.triu(np.full((WINDOW, WINDOW), -1e30, np.float32), 1)
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
+_ACROSS = np.arange(WIDTH)
+
+
+def _in_range(sums: np.ndarray) -> bool:
+    """Whether sums of ``exp`` neither ran over nor lost digits, without their greatest score taken off."""
+    return bool(sums.min() > 1e-20 and sums.max() < 1e30)
 
 
 def _layers(w: dict, x_ids: np.ndarray, bound: bool = True):
@@ -88,57 +94,88 @@ def log_probabilities(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np
     return out if np.isfinite(out).all() else _class_scores(w, follow, x_ids, before, y, bound=True)
 
 
-def gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
-    """Mean loss over the ``real`` places and its gradients; ``follow`` stays as it was counted."""
+def _gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray, bound: bool):
     b, t = x_ids.shape
-    xp, q, k, v, a, total, both, h = _layers(w, x_ids)
-    a = a / total
-    z = h @ w["out"] + follow[before.ravel()]
-    z -= z.max(axis=1, keepdims=True)
-    p = np.exp(z)
-    p /= p.sum(axis=1, keepdims=True)
+    xp, q, k, v, a, total, both, h = _layers(w, x_ids, bound)
+    z = h @ w["out"]
+    z += np.take(follow, before.ravel(), axis=0)
+    if bound:
+        z -= z.max(axis=1, keepdims=True)
     flat, on = y.ravel(), real.ravel().astype(np.float32)
     n = max(float(on.sum()), 1.0)
     rows = np.arange(len(flat))
-    loss = float(-(np.log(p[rows, flat] + 1e-20) * on).sum() / n)
-    p[rows, flat] -= 1
-    p *= (on / n)[:, None]
-    g = {"out": h.T @ p}
-    dh = (p @ w["out"].T) * (h > 0)
-    g["mix"], g["lift"] = both.T @ dh, dh.sum(axis=0)
+    own = z[rows, flat]
+    np.exp(z, out=z)
+    sums = z @ np.ones(z.shape[1], np.float32)
+    if not bound and not (_in_range(total) and _in_range(sums)):
+        return None
+    loss = float(-((own - np.log(sums)) * on).sum() / n)
+    on /= np.float32(n)
+    z *= (on / sums)[:, None]
+    z[rows, flat] -= on
+    g = {"out": h.T @ z}
+    dh = z @ w["out"].T
+    dh *= h > 0
+    g["mix"], g["lift"] = both.T @ dh, np.ones(len(dh), np.float32) @ dh
     dboth = (dh @ w["mix"].T).reshape(b, t, 2 * WIDTH)
-    dx, dc = dboth[:, :, :WIDTH].copy(), dboth[:, :, WIDTH:]
-    da = np.matmul(dc, v.transpose(0, 2, 1))
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dqkv = np.concatenate(
-        [np.matmul(ds, k) * _SCALE, np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dc)], axis=2
-    ).reshape(-1, 3 * WIDTH)
+    dx, dc = dboth[:, :, :WIDTH], dboth[:, :, WIDTH:]
+    a /= total
+    # a row of the table's gradient meets its weights in the mixed values
+    ds = np.matmul(dc, v.transpose(0, 2, 1))
+    ds -= np.einsum("btk,btk->bt", dc, both.reshape(b, t, 2 * WIDTH)[:, :, WIDTH:])[:, :, None]
+    ds *= a
+    dqkv = np.empty((b, t, 3 * WIDTH), np.float32)
+    np.multiply(np.matmul(ds, k), _SCALE, out=dqkv[:, :, :WIDTH])
+    dqkv[:, :, WIDTH : 2 * WIDTH] = np.matmul(ds.transpose(0, 2, 1), q)
+    dqkv[:, :, 2 * WIDTH :] = np.matmul(a.transpose(0, 2, 1), dc)
+    dqkv = dqkv.reshape(-1, 3 * WIDTH)
     g["attend"] = xp.reshape(-1, WIDTH).T @ dqkv
     dxp = (dqkv @ w["attend"].T).reshape(b, t, WIDTH)
     g["place"] = np.zeros_like(w["place"])
     g["place"][:t] = dxp.sum(axis=0)
-    dx += dxp
+    dxp += dx
+    # by flat places: numpy adds at single numbers far faster than at rows
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], x_ids.ravel(), dx.reshape(-1, WIDTH))
+    np.add.at(g["embed"].reshape(-1), (x_ids.reshape(-1, 1) * WIDTH + _ACROSS).ravel(), dxp.ravel())
     return g, loss
 
 
+def gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
+    """Mean loss over the ``real`` places and its gradients; ``follow`` stays as it was counted."""
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        found = _gradients(w, follow, x_ids, before, y, real, bound=False)
+    return found or _gradients(w, follow, x_ids, before, y, real, bound=True)
+
+
 def train(
     w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray,
     rate: float, seed: int, batch: int = 32,
 ) -> dict:
-    """One pass of Adam over the windows in seeded order."""
-    w = {n: v.copy() for n, v in w.items()}
-    m = {n: np.zeros_like(v) for n, v in w.items()}
-    s = {n: np.zeros_like(v) for n, v in w.items()}
+    """One pass of Adam over the windows in seeded order; all weights lie in one array, of which ``w`` holds views."""
+    flat = np.concatenate([v.ravel() for v in w.values()])
+    g, m, s, step_by = (np.zeros_like(flat) for _ in range(4))
+    new, slope, at = {}, {}, 0
+    for n, v in w.items():
+        new[n], slope[n] = (f[at : at + v.size].reshape(v.shape) for f in (flat, g))
+        at += v.size
     order, step = np.random.default_rng(seed).permutation(len(x_ids)), 0
     for at in range(0, len(order), batch):
         own = order[at : at + batch]
-        g, _ = gradients(w, follow, x_ids[own], before[own], y[own], real[own])
+        found, _ = gradients(new, follow, x_ids[own], before[own], y[own], real[own])
+        for n, v in found.items():
+            slope[n][...] = v
         step += 1
         scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        for n in w:
-            m[n] += 0.1 * (g[n] - m[n])
-            s[n] += 0.001 * (g[n] * g[n] - s[n])
-            w[n] -= (scale * m[n] / (np.sqrt(s[n]) + 1e-8)).astype(np.float32)
-    return w
+        np.subtract(g, m, out=step_by)
+        step_by *= np.float32(0.1)
+        m += step_by
+        g *= g
+        g -= s
+        g *= np.float32(0.001)
+        s += g
+        np.sqrt(s, out=g)
+        g += np.float32(1e-8)
+        np.divide(m, g, out=step_by)
+        step_by *= np.float32(scale)
+        flat -= step_by
+    return new

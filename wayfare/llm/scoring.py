@@ -14,9 +14,11 @@ windows from the common weights, and the weights are averaged. A last step score
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wayfare.cluster import written
 from wayfare.llm import attention as A
-from wayfare.llm.common import WORD_BYTES, sliced
+from wayfare.llm.common import sliced
 from wayfare.llm.tokens import encoder, vocabulary
 
 FOLDS, HELD_OUT = 7, 2
@@ -42,8 +44,12 @@ CONTEXTS, PSEUDO = 96, 4.0
 RUN, PER_TASK, ROUNDS, RATE = 64, 16384, 3, 0.01
 #: words whose counts every task knows (some 2 MB); the others' counts are joined
 HEAD = 1 << 17
-#: distinct words a task counts before it passes on what it has
-KNOWN = 250_000
+#: distinct words, and pairs, a task counts before it passes on what it has
+KNOWN, PAIRS = 250_000, 1 << 22
+#: bytes of texts that are cut into words together
+BLOCK = 1 << 22
+#: white space that a word may hold and that the pre-tokeniser may join with the next word's blank
+_ODD = re.compile(r"[^\S ]")
 
 
 def held_out(doc_id) -> bool:
@@ -51,7 +57,7 @@ def held_out(doc_id) -> bool:
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return WORD_BYTES.findall((text or "").encode().lower())
+    return (text or "").encode().lower().split()
 
 
 def word_hash(word: bytes) -> int:
@@ -76,18 +82,93 @@ def _batch(kind: int, size: int, schema: pa.Schema, **columns) -> pa.RecordBatch
     )
 
 
+@lru_cache(maxsize=2)
+def _pieces(path: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The bytes of each id, whether they begin with a blank, and how many blanks they hold."""
+    pieces = encoder(path).pieces()
+    pieces += [b""] * (IDS - len(pieces))
+    return pa.array(pieces, pa.binary()), np.array([p[:1] == b" " for p in pieces]), np.array([p.count(b" ") for p in pieces])
+
+
+def _blocks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of some ``limit`` in all: long texts go alone."""
+    first = total = 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= limit or i + 1 == len(sizes):
+            yield first, i + 1
+            first, total = i + 1, 0
+
+
+class _Words(dict):
+    """A task's words, numbered as they come, with the ids of each and how often it came in training texts.
+
+    The pre-tokeniser never joins a word with the blank after it, so the ids of a text are those of
+    its words, and a word that comes often is encoded once. Texts with other white space are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        self._encode, self._starts = encoder(path).whole, _pieces(path)[1]
+        self.forget()
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self)
+        return at
+
+    def forget(self) -> None:
+        self.clear()
+        self.times, self._odd = np.zeros(0, np.int64), np.zeros(0, bool)
+        self._ids, self._lows, self._sizes = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _learn(self) -> None:
+        """The ids of the words that came since."""
+        names = list(islice(self, len(self.times), None))
+        if not names:
+            return
+        odd = np.zeros(len(names), bool)
+        if _ODD.search(b" ".join(names).decode()):
+            odd[:] = [bool(_ODD.search(n.decode())) for n in names]
+        plain = [b"x" if o else n for n, o in zip(names, odd.tolist(), strict=True)]
+        found = self._encode((b" " + b" ".join(plain)).decode()).astype(np.int64)
+        lows = np.flatnonzero(self._starts[found])
+        self._lows = np.append(self._lows, len(self._ids) + lows)
+        self._sizes = np.append(self._sizes, np.diff(lows, append=len(found)))
+        self._ids, self._odd = np.append(self._ids, found), np.append(self._odd, odd)
+        self.times = np.append(self.times, np.zeros(len(names), np.int64))
+
+    def ids_of(self, own: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts as words -> their ids one after the other, END after each text; how many each has; the words' numbers."""
+        counts = np.array([len(w) for w in own], np.int64)
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(own)), np.int64, int(counts.sum()))
+        self._learn()
+        # one more word, the end, behind each text's
+        ends = np.cumsum(counts)
+        ended = np.insert(codes, ends, len(self))
+        low, size, ids = np.append(self._lows, len(self._ids))[ended], np.append(self._sizes, 1)[ended], np.append(self._ids, END)
+        after = np.cumsum(size)
+        ids = ids[np.repeat(low - (after - size), size) + np.arange(after[-1])]
+        lengths = np.diff(after[ends + np.arange(len(own))], prepend=0)
+        if self._odd[codes].any():
+            parts = np.split(ids, np.cumsum(lengths)[:-1])
+            for i, odd in enumerate(np.split(self._odd[codes], ends[:-1])):
+                if odd.any():
+                    parts[i] = np.append(self._encode((b" " + b" ".join(own[i])).decode()), END).astype(np.int64)
+            ids, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
+        return ids, lengths, codes
+
+
 def _gather(path: str):
     """Documents -> their ids (two bytes each), and the counts of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, schema = encoder(path).whole, None
-        words, pairs = Counter(), []
+        schema, words, pairs = None, _Words(path), []
 
         def counted() -> Iterator[pa.RecordBatch]:
-            if words:
-                names = list(words)
-                yield _batch(_WORD, len(names), schema, word=names, a=[word_hash(w) for w in names], n=list(words.values()))
-                words.clear()
+            names = list(compress(words, words.times.tolist()))
+            if names:
+                yield _batch(_WORD, len(names), schema, word=names, a=[word_hash(w) for w in names], n=words.times[words.times > 0])
+            words.forget()
             if pairs:
                 codes, n = np.unique(np.concatenate(pairs), return_counts=True)
                 yield _batch(_PAIR, len(codes), schema, a=codes // IDS, b=codes % IDS, n=n)
@@ -95,21 +176,21 @@ def _gather(path: str):
 
         for batch in sliced(batches):
             schema = schema or pa.schema([batch.schema.field("doc_id"), *_ROWS])
-            docs, texts, held = batch.column("doc_id").to_pylist(), [], []
-            for doc, text in zip(docs, batch.column("text").to_pylist(), strict=True):
-                own = words_of(text)
-                ids = encode(b"".join([b" " + w for w in own]).decode()) if own else np.zeros(0, np.uint32)
-                ids = np.append(ids, END).astype(np.int64)
-                texts.append(ids.astype("<u2").tobytes())
-                held.append(held_out(doc))
-                if held[-1]:
-                    continue
-                words.update(own)
-                before = np.concatenate([[END], ids[:-1]])
-                pairs.append(before * IDS + ids)
-                if len(words) > KNOWN or len(pairs) > 4000:
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for first, last in _blocks([len(t or "") for t in texts], BLOCK):
+                own = [words_of(t) for t in texts[first:last]]
+                ids, lengths, codes = words.ids_of(own)
+                held = np.array([held_out(d) for d in docs[first:last]])
+                offsets = pa.py_buffer(np.append(0, np.cumsum(lengths) * 2).astype(np.int32))
+                rows = pa.Array.from_buffers(pa.binary(), len(own), [None, offsets, pa.py_buffer(ids.astype("<u2"))])
+                yield _batch(_TEXT, len(own), schema, doc_id=docs[first:last], held_out=held, ids=rows)
+                # the first id of a text follows the end of the one before it
+                both = np.append(END, ids[:-1]) * IDS + ids
+                pairs.append(both[np.repeat(~held, lengths)])
+                learnt = codes[np.repeat(~held, [len(w) for w in own])]
+                words.times += np.bincount(learnt, minlength=len(words))
+                if len(words) > KNOWN or sum(map(len, pairs)) > PAIRS:
                     yield from counted()
-            yield _batch(_TEXT, len(docs), schema, doc_id=docs, held_out=held, ids=texts)
         yield from counted()
 
     return run
@@ -128,8 +209,9 @@ def classes_of(counts: np.ndarray, before: np.ndarray, after: np.ndarray, classe
     rest = order[alone:][counts[order[alone:]] > 0]
     groups = classes - alone - 1
     if len(rest):
-        x = np.concatenate([before[rest], after[rest]], axis=1).astype(float)
-        x = np.sqrt(x / np.maximum(x.sum(axis=1, keepdims=True), 1))
+        x = np.concatenate([before[rest], after[rest]], axis=1, dtype=float)
+        x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
+        np.sqrt(x, out=x)
         centres, weight = x[:groups].copy(), counts[rest].astype(float)
         for _ in range(12):
             own = (x @ centres.T).argmax(axis=1)
@@ -338,35 +420,40 @@ def _score(path: str, shared):
     """Texts as ids -> a scored row each, and rows (rid, word) for words whose count the task doesn't know."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pieces = shared.value, encoder(path).pieces()
-        pieces += [b""] * (IDS - len(pieces))
-        head, ends = model.head, float(np.log10(model.ends + 1.0))
+        model, (pieces, _, blanks) = shared.value, _pieces(path)
+        ends = float(np.log10(model.ends + 1.0))
         rid = TaskContext.get().partitionId() << 40
         for batch in sliced(batches):
             schema = pa.schema([batch.schema.field("doc_id"), *_SCORED])
             texts = [np.frombuffer(d, "<u2") for d in batch.column("ids").to_pylist()]
             score = model.log_probability(texts) / np.log(10)
             n, known, base, rids, names = [], [], [], [], []
-            for i, ids in enumerate(texts):
-                words = WORD_BYTES.findall(b"".join([pieces[t] for t in ids.tolist()]))
-                logs = [head.get(w) for w in words]
-                rest = [word_hash(w) for w, v in zip(words, logs, strict=True) if v is None]
-                n.append(len(words) + 1)
-                known.append(len(words) - len(rest) + (model.ends > 0))
-                base.append(sum([v for v in logs if v is not None]) + ends)
-                names.append(np.array(rest, np.int64))
-                rids.append(np.full(len(rest), rid + i))
+            for first, last in _blocks([2 * len(t) for t in texts], BLOCK):
+                own = texts[first:last]
+                ids = np.concatenate(own)
+                # a blank stands before each word and nowhere else
+                counts = np.add.reduceat(blanks[ids], np.cumsum([0, *map(len, own[:-1])]))
+                # the bytes of an Arrow column lie one behind the other
+                _, ends_at, text = pieces.take(pa.array(ids)).buffers()
+                words = text.slice(0, int(np.frombuffer(ends_at, np.int32)[len(ids)])).to_pybytes().split()
+                logs = np.array(list(map(model.head.get, words)), float)  # None becomes nan
+                rest, row = np.isnan(logs), np.repeat(np.arange(len(own)), counts)
+                missing = np.bincount(row[rest], minlength=len(own))
+                n.append(counts + 1)
+                known.append(counts - missing + (model.ends > 0))
+                base.append(np.bincount(row, weights=np.where(rest, 0, logs), minlength=len(own)) + ends)
+                names.append(np.array([word_hash(words[i]) for i in np.flatnonzero(rest).tolist()], np.int64))
+                rids.append(rid + first + row[rest])
             size = len(texts)
-            columns = {"rid": np.arange(rid, rid + size), "n_tokens": n, "known": known, "base": base, "score": score}
+            columns = {"rid": np.arange(rid, rid + size), "n_tokens": np.concatenate(n), "known": np.concatenate(known), "base": np.concatenate(base), "score": score}
             full = [batch.column(f.name) if f.name in ("doc_id", "held_out") else pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema]
             yield pa.RecordBatch.from_arrays(full, schema=schema)
             rid += size
-            if size:
-                tail = {"rid": np.concatenate(rids), "word": np.concatenate(names)}
-                rows = len(tail["rid"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tail[f.name], f.type) if f.name in tail else pa.nulls(rows, f.type) for f in schema], schema=schema
-                )
+            tail = {"rid": np.concatenate(rids), "word": np.concatenate(names)}
+            rows = len(tail["rid"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tail[f.name], f.type) if f.name in tail else pa.nulls(rows, f.type) for f in schema], schema=schema
+            )
 
     return run
 
