@@ -462,18 +462,23 @@ def test_a_task_encodes_each_word_once_and_texts_keep_their_ids(monkeypatch):
     gathered([None, "", " "] + ["".join(rng.choices(odd, k=rng.randrange(30))) for _ in range(400)])
 
 
-def test_weights_out_of_range_still_give_gradients():
+def test_training_steps_are_those_of_plain_adam():
+    """Bit by bit: a pass over windows against Adam written out weight by weight."""
     rng, weights, follow = small_model(4)
-    x = rng.integers(0, 20, (2, attention.WINDOW))
-    before, y, real = rng.integers(0, 6, x.shape), rng.integers(0, 6, x.shape), np.ones(x.shape, bool)
-    plain = attention._gradients(weights, follow, x, before, y, real, bound=False)
-    bounded = attention._gradients(weights, follow, x, before, y, real, bound=True)
-    assert plain[1] == pytest.approx(bounded[1], rel=1e-5)
-    assert all(np.allclose(plain[0][n], bounded[0][n], atol=1e-6) for n in weights)
-    for sign in (1, -1):  # sums that run over, and sums of nothing
-        assert attention._gradients(weights, follow + np.float32(200 * sign), x, before, y, real, bound=False) is None
-        found, loss = attention.gradients(weights, follow + np.float32(200 * sign), x, before, y, real)
-        assert loss == pytest.approx(bounded[1], rel=1e-4) and all(np.allclose(found[n], bounded[0][n], atol=1e-4) for n in weights)
+    x = rng.integers(0, 20, (100, attention.WINDOW))
+    before, y, real = rng.integers(0, 6, x.shape), rng.integers(0, 6, x.shape), rng.random(x.shape) < 0.9
+    found = attention.train(weights, follow, x, before, y, real, 0.01, 1)
+    w, m, s = ({n: v * keep for n, v in weights.items()} for keep in (np.float32(1), np.float32(0), np.float32(0)))
+    order = np.random.default_rng(1).permutation(len(x))
+    for step, at in enumerate(range(0, len(order), 32), 1):
+        own = order[at : at + 32]
+        g, _ = attention.gradients(w, follow, x[own], before[own], y[own], real[own])
+        scale = 0.01 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        for n in w:
+            m[n] += 0.1 * (g[n] - m[n])
+            s[n] += 0.001 * (g[n] * g[n] - s[n])
+            w[n] -= (scale * m[n] / (np.sqrt(s[n]) + 1e-8)).astype(np.float32)
+    assert all(np.array_equal(found[n], w[n]) for n in w)
 
 
 def test_windows_of_training_tile_every_training_document(spark, documents):

@@ -32,10 +32,6 @@ _SCALE = np.float32(1 / np.sqrt(WIDTH))
 _ACROSS = np.arange(WIDTH)
 
 
-def _in_range(sums: np.ndarray) -> bool:
-    """Whether sums of ``exp`` neither ran over nor lost digits, without their greatest score taken off."""
-    return bool(sums.min() > 1e-20 and sums.max() < 1e30)
-
 
 def _layers(w: dict, x_ids: np.ndarray, bound: bool = True):
     """``x_ids`` (B, T): the input at each place, which already precedes the token to predict.
@@ -94,35 +90,35 @@ def log_probabilities(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np
     return out if np.isfinite(out).all() else _class_scores(w, follow, x_ids, before, y, bound=True)
 
 
-def _gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray, bound: bool):
+def gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
+    """Mean loss over the ``real`` places and its gradients; ``follow`` stays as it was counted.
+
+    Large tables are worked on in place. The order of every sum is kept: Adam makes
+    whole steps of differences in rounding.
+    """
     b, t = x_ids.shape
-    xp, q, k, v, a, total, both, h = _layers(w, x_ids, bound)
-    z = h @ w["out"]
-    z += np.take(follow, before.ravel(), axis=0)
-    if bound:
-        z -= z.max(axis=1, keepdims=True)
+    xp, q, k, v, a, total, both, h = _layers(w, x_ids)
+    a /= total
+    p = h @ w["out"]
+    p += np.take(follow, before.ravel(), axis=0)
+    p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(axis=1, keepdims=True)
     flat, on = y.ravel(), real.ravel().astype(np.float32)
     n = max(float(on.sum()), 1.0)
     rows = np.arange(len(flat))
-    own = z[rows, flat]
-    np.exp(z, out=z)
-    sums = z @ np.ones(z.shape[1], np.float32)
-    if not bound and not (_in_range(total) and _in_range(sums)):
-        return None
-    loss = float(-((own - np.log(sums)) * on).sum() / n)
-    on /= np.float32(n)
-    z *= (on / sums)[:, None]
-    z[rows, flat] -= on
-    g = {"out": h.T @ z}
-    dh = z @ w["out"].T
+    own = p[rows, flat]
+    loss = float(-(np.log(own + 1e-20) * on).sum() / n)
+    p[rows, flat] = own - 1
+    p *= (on / n)[:, None]
+    g = {"out": h.T @ p}
+    dh = p @ w["out"].T
     dh *= h > 0
-    g["mix"], g["lift"] = both.T @ dh, np.ones(len(dh), np.float32) @ dh
+    g["mix"], g["lift"] = both.T @ dh, dh.sum(axis=0)
     dboth = (dh @ w["mix"].T).reshape(b, t, 2 * WIDTH)
-    dx, dc = dboth[:, :, :WIDTH], dboth[:, :, WIDTH:]
-    a /= total
-    # a row of the table's gradient meets its weights in the mixed values
+    dx, dc = dboth[:, :, :WIDTH].copy(), dboth[:, :, WIDTH:]
     ds = np.matmul(dc, v.transpose(0, 2, 1))
-    ds -= np.einsum("btk,btk->bt", dc, both.reshape(b, t, 2 * WIDTH)[:, :, WIDTH:])[:, :, None]
+    ds -= (ds * a).sum(axis=2, keepdims=True)
     ds *= a
     dqkv = np.empty((b, t, 3 * WIDTH), np.float32)
     np.multiply(np.matmul(ds, k), _SCALE, out=dqkv[:, :, :WIDTH])
@@ -133,27 +129,21 @@ def _gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarra
     dxp = (dqkv @ w["attend"].T).reshape(b, t, WIDTH)
     g["place"] = np.zeros_like(w["place"])
     g["place"][:t] = dxp.sum(axis=0)
-    dxp += dx
+    dx += dxp
     # by flat places: numpy adds at single numbers far faster than at rows
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"].reshape(-1), (x_ids.reshape(-1, 1) * WIDTH + _ACROSS).ravel(), dxp.ravel())
+    np.add.at(g["embed"].reshape(-1), (x_ids.reshape(-1, 1) * WIDTH + _ACROSS).ravel(), dx.ravel())
     return g, loss
 
 
-def gradients(w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray) -> tuple[dict, float]:
-    """Mean loss over the ``real`` places and its gradients; ``follow`` stays as it was counted."""
-    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-        found = _gradients(w, follow, x_ids, before, y, real, bound=False)
-    return found or _gradients(w, follow, x_ids, before, y, real, bound=True)
-
-
 def train(
     w: dict, follow: np.ndarray, x_ids: np.ndarray, before: np.ndarray, y: np.ndarray, real: np.ndarray,
     rate: float, seed: int, batch: int = 32,
 ) -> dict:
     """One pass of Adam over the windows in seeded order; all weights lie in one array, of which ``w`` holds views."""
     flat = np.concatenate([v.ravel() for v in w.values()])
-    g, m, s, step_by = (np.zeros_like(flat) for _ in range(4))
+    g, m, s, by = (np.zeros_like(flat) for _ in range(4))
+    wide = np.zeros(len(flat))
     new, slope, at = {}, {}, 0
     for n, v in w.items():
         new[n], slope[n] = (f[at : at + v.size].reshape(v.shape) for f in (flat, g))
@@ -166,16 +156,17 @@ def train(
             slope[n][...] = v
         step += 1
         scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        np.subtract(g, m, out=step_by)
-        step_by *= np.float32(0.1)
-        m += step_by
+        np.subtract(g, m, out=by)
+        by *= 0.1
+        m += by
         g *= g
         g -= s
-        g *= np.float32(0.001)
+        g *= 0.001
         s += g
         np.sqrt(s, out=g)
-        g += np.float32(1e-8)
-        np.divide(m, g, out=step_by)
-        step_by *= np.float32(scale)
-        flat -= step_by
+        g += 1e-8
+        # in double precision until the step is taken
+        np.multiply(m, scale, out=wide)
+        wide /= g
+        flat -= wide.astype(np.float32)
     return new
